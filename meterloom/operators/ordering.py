@@ -83,16 +83,19 @@ def with_position(
     order: Sequence[str | Column] = ("ts",),
     pos: str = "pos",
     total: str = "n_rows",
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Number the rows of each series 0…n-1 in key order and add the series length.
 
+    ``totals`` adds further aggregates over the whole series in the same pass.
+
     ``df`` carries a chunk column whose value never decreases along ``order``
     (see :func:`chunked`).
     """
     rows = F.count(F.lit(1))
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     return (
-        with_carry(df, keys=keys, sums={"_offset": rows}, totals={total: rows})
+        with_carry(df, keys=keys, sums={"_offset": rows}, totals={total: rows, **(totals or {})})
         .withColumn(pos, F.col("_offset") + F.row_number().over(inside) - 1)
         .drop("_offset")
     )
