@@ -168,7 +168,8 @@ def with_parts(body: str, *parts: str, recursive: bool = False, **extra: str) ->
 
     for part in parts:
         add(part)
-    ctes = [f"{p} AS ({PARTS[p]})" for p in order] + [f"{n} AS ({b})" for n, b in extra.items()]
+    kind = "AS MATERIALIZED" if recursive else "AS"
+    ctes = [f"{p} {kind} ({PARTS[p]})" for p in order] + [f"{n} AS ({b})" for n, b in extra.items()]
     word = "WITH RECURSIVE" if recursive else "WITH"
     return (f"{word} " + ",\n".join(ctes) + "\n" if ctes else "") + body
 
@@ -216,7 +217,7 @@ def box(key: str | None, source: str) -> tuple[str, str]:
 
 
 def metric_columns(y: str = "y", yhat: str = "yhat", suffix: str = "", where: str = "") -> str:
-    """Error aggregates; ``where`` restricts the rows of each."""
+    """Rounded error aggregates; ``where`` restricts the rows of each."""
     f = f" FILTER (WHERE {where})" if where else ""
     return ", ".join(
         [
@@ -498,16 +499,22 @@ BLOCK_METRICS = metric_columns().replace(
              ELSE 1 - sum((y - yhat) ^ 2) / (var_pop(y) * count(y)) END""")
 
 
-def block_query(max_missing: int) -> str:
-    return f"""SELECT series_id, origin, count(y) AS n_used, {BLOCK_METRICS} FROM blocks GROUP BY 1, 2
+BLOCK_ERRORS = """avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat) ^ 2)) AS rmse,
+    CASE WHEN var_pop(y) = 0 THEN CASE WHEN sum((y - yhat) ^ 2) = 0 THEN 1.0 ELSE 0.0 END
+         ELSE 1 - sum((y - yhat) ^ 2) / (var_pop(y) * count(y)) END AS r2,
+    avg(abs((y - yhat) / CASE WHEN y = 0 THEN 1e-6 ELSE y END)) * 100 AS mape"""
+
+
+def block_query(max_missing: int, columns: str = BLOCK_METRICS) -> str:
+    return f"""SELECT series_id, origin, count(y) AS n_used, {columns} FROM blocks GROUP BY 1, 2
                HAVING count(y) >= 10 AND count(*) - count(y) <= {max_missing}"""
 
 
 define("block_metrics_midnight", block_query(4), "blocks")
 define("block_metrics_summary", f"""
     SELECT series_id, count(*) AS n_blocks, {', '.join(r6(f'avg({m})', f'{m}_mean') for m in ('mae', 'rmse', 'r2', 'mape'))},
-           {r6('quantile_cont(mae, 0.5)', 'mae_median')} FROM scored GROUP BY 1""", "blocks", scored=block_query(60))
-define("block_rmse_score", f"SELECT {r6('avg(rmse)', 'score')} FROM scored", "blocks", scored=block_query(60))
+           {r6('quantile_cont(mae, 0.5)', 'mae_median')} FROM scored GROUP BY 1""", "blocks", scored=block_query(60, BLOCK_ERRORS))
+define("block_rmse_score", f"SELECT {r6('avg(rmse)', 'score')} FROM scored", "blocks", scored=block_query(60, BLOCK_ERRORS))
 
 # --- modelling frame ----------------------------------------------------------------------
 
@@ -520,3 +527,101 @@ define("modelling_rows", f"""
     FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS pos,
                  count(*) OVER (PARTITION BY series_id) AS n_rows
           FROM features WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-30 12:00:00')""", "features")
+
+# --- flags --------------------------------------------------------------------------------
+
+define("extreme_weather_flag", """
+    SELECT series_id, ts, temp_2m, (temp_2m < quantile_cont(temp_2m, 0.05) OVER s
+                                    OR temp_2m > quantile_cont(temp_2m, 0.95) OVER s)::INT AS is_extreme
+    FROM weather WINDOW s AS (PARTITION BY series_id)""", "weather")
+define("anomaly_flags", f"""
+    SELECT series_id, ts, {r6s('y', 'yhat', 'z')}, (abs(z) > 2.5)::INT AS is_anomaly
+    FROM (SELECT *, (y - yhat - avg(y - yhat) OVER s) / stddev_pop(y - yhat) OVER s AS z FROM naive
+          WINDOW s AS (PARTITION BY series_id))""", "naive")
+
+# --- files --------------------------------------------------------------------------------
+
+define("load_csv_round_trip", "SELECT * EXCLUDE (lt) FROM load", "load")
+define("weather_csv_round_trip", "SELECT series_id, ts, temp_2m, global_rad FROM weather", "weather")
+define("features_csv_round_trip", f"""
+    SELECT series_id, ts, {r6('load_kwh')}, month, day, weekday, day_of_year, quarter, week,
+           {r6s('lag_15m', 'lag_30m', 'lag_1h', 'lag_24h', 'base_customers_lag_15m', 'free_customers_lag_15m',
+                'global_rad_lag15', 'temp_2m_lag15', 'wind_scalar_ms_lag15', 'diff_15m')},
+           local_date, local_time, local_hour, is_sunday, is_workday FROM features""", "features")
+define("features_parquet_round_trip", """
+    SELECT series_id, split, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts
+    FROM (SELECT series_id, ts, CASE WHEN row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1
+                                          < floor(count(*) OVER (PARTITION BY series_id) * 0.7::DOUBLE)
+                                     THEN 'train' ELSE 'test' END AS split
+          FROM lagged WHERE pos >= 96 AND ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-30 12:00:00')
+    GROUP BY 1, 2""", "lagged")
+
+# --- forecasts ----------------------------------------------------------------------------
+
+PARTS["january"] = """
+        SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS p FROM features
+        WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31 23:45:00'"""
+NEEDS["january"] = ["features"]
+PARTS["starts"] = """
+        SELECT o.series_id, o.ts AS origin, max(r.ts) + INTERVAL 15 MINUTE AS start, list(r.load_kwh ORDER BY r.p) AS hist,
+               last(r.base_customers_lag_15m ORDER BY r.p) AS base_last
+        FROM january o JOIN january r ON r.series_id = o.series_id AND r.p BETWEEN o.p - 96 AND o.p - 1
+        WHERE o.p >= 96 AND right(o.local_time, 5) = '00:00' AND o.local_hour = 0
+        GROUP BY 1, 2 HAVING min(r.ts) >= o.ts - INTERVAL 15 MINUTE - INTERVAL 7 DAY"""
+NEEDS["starts"] = ["january"]
+PARTS["slots"] = """
+        SELECT series_id, origin, h, start + (h - 1) * INTERVAL 15 MINUTE AS ts,
+               CASE WHEN h = 1 THEN base_last END AS base_first
+        FROM starts CROSS JOIN range(1, 97) t(h)"""
+NEEDS["slots"] = ["starts"]
+# The fixed linear model; calendar of a forecast stamp: hour local, the rest UTC.
+PARTS["scores"] = """
+        SELECT s.series_id, s.origin, s.h, s.ts,
+               4.0::DOUBLE + 1.5 * cos(2 * pi() * hour(timezone('Europe/Zurich', timezone('UTC', s.ts))) / 24)
+               - 0.75 * sin(2 * pi() * (isodow(s.ts) - 1) / 7) + 0.05 * weekofyear(s.ts)
+               + 0.5 * (isodow(s.ts) < 6)::INT + 0.02 * coalesce(w.temp_2m_lag15, 0)
+               + 0.01 * coalesce(s.base_first, 0) AS score
+        FROM slots s ASOF LEFT JOIN january w ON s.series_id = w.series_id AND s.ts >= w.ts"""
+NEEDS["scores"] = ["slots"]
+PARTS["table_scores"] = """
+        SELECT s.series_id, s.origin, s.h, s.ts,
+               4.0::DOUBLE + 1.5 * cos(2 * pi() * local_hour / 24) - 0.75 * sin(2 * pi() * weekday / 7) + 0.05 * week
+               + 0.5 * is_workday + 0.02 * coalesce(w.temp_2m_lag15, 0)
+               + 0.01 * coalesce(w.base_customers_lag_15m, 0) AS score
+        FROM slots s JOIN january w USING (series_id, ts)"""
+NEEDS["table_scores"] = ["slots"]
+
+
+def recursion(scores: str, body: str) -> str:
+    """Advance every block by one slot per round; a block without a next score stops."""
+    return with_parts(
+        body,
+        scores,
+        recursive=True,
+        run=f"""
+        SELECT series_id, origin, 0::BIGINT AS h, NULL::TIMESTAMP AS ts, hist, NULL::DOUBLE AS yhat FROM starts
+        UNION ALL
+        SELECT series_id, origin, h, ts, list_append(hist[2:], yhat), yhat FROM (
+            SELECT r.series_id, r.origin, s.h, s.ts, r.hist,
+                   s.score + 0.25 * r.hist[96] + 0.2 * r.hist[93] + 0.4 * r.hist[1]
+                   - 0.1 * (r.hist[96] - r.hist[95]) AS yhat
+            FROM run r JOIN {scores} s ON s.series_id = r.series_id AND s.origin = r.origin AND s.h = r.h + 1)""",
+    )
+
+
+SQL["recursive_linear_24h"] = recursion(
+    "scores", f"SELECT series_id, origin, h, ts, {r6('yhat')} FROM run WHERE h > 0")
+SQL["recursive_table_linear"] = recursion(
+    "table_scores", f"SELECT series_id, origin, h, ts, {r6('yhat')} FROM run WHERE h > 0")
+SQL["recursive_linear_blocks"] = recursion("scores", f"""
+    SELECT series_id, origin, count(y) AS n_used, {BLOCK_METRICS}
+    FROM (SELECT r.series_id, r.origin, r.yhat, j.load_kwh AS y FROM run r LEFT JOIN january j USING (series_id, ts) WHERE h > 0)
+    GROUP BY 1, 2 HAVING count(y) >= 10 AND count(*) - count(y) <= 70""")
+SQL["next_day_forecast"] = recursion("scores", f"""
+    SELECT series_id, origin, h, ts, {r6('yhat')} FROM run WHERE h > 0 AND (series_id, origin) IN (
+        SELECT (series_id, max(ts)) FROM january
+        WHERE right(local_time, 5) = '00:00' AND local_hour = 0 GROUP BY series_id)""")
+define("direct_linear_weights", f"""
+    SELECT h, {r6('regr_intercept(b.load_kwh, a.load_kwh)', 'intercept')}, {r6('regr_slope(b.load_kwh, a.load_kwh)', 'slope')}
+    FROM pos a CROSS JOIN range(1, 97) t(h) JOIN pos b ON a.series_id = b.series_id AND b.pos = a.pos + h
+    WHERE a.pos + 96 < a.n_rows GROUP BY h""", "pos")

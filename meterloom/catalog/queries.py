@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.catalog.adapters import load_table, table, weather_readings
 from meterloom.config import DatasetConfig
+from meterloom.forecast import daily, direct, importance, models, recursive
 from meterloom.functions import calendar as cal
 from meterloom.metrics import (
     best_model,
@@ -21,12 +24,15 @@ from meterloom.metrics import (
     score_by,
     train_test_metrics,
 )
-from meterloom.operators import align, correlate, lags, profile, resample, split
+from meterloom.operators import align, correlate, flags, lags, profile, resample, split
 from meterloom.operators.fill import ffill_bfill, interpolate_time
 from meterloom.operators.ordering import CHUNK, chunked, with_position
-from meterloom.plans.dataset import model_rows
+from meterloom.plans.dataset import Dataset, load_and_split, model_rows
 from meterloom.plans.prepare import clean_weather, prepare
-from meterloom.session import configure, stage
+from meterloom.session import configure, shared_folder, stage
+from meterloom.sources.headers import LOAD_HEADERS
+from meterloom.sources.readers import read_features, read_load_csv, read_weather_csv
+from meterloom.sources.writers import write_features, write_features_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,9 +245,9 @@ def holiday_flags(spark, sf_dir):
     days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("ds")).agg(
         F.count(F.lit(1)).alias("n_orders")
     )
-    flags = cal.holiday_flags("ds")
+    holidays = cal.holiday_flags("ds")
     return days.select(
-        "ds", "n_orders", *[c.alias(n) for n, c in flags.items()],
+        "ds", "n_orders", *[c.alias(n) for n, c in holidays.items()],
         cal.is_holiday("ds").alias("is_holiday"),
     )
 
@@ -553,3 +559,266 @@ def modelling_rows(spark, sf_dir):
     features = stage(prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir)), "features")
     data = model_rows(features, JANUARY)
     return rounded(data.rows)
+
+
+# --- flags --------------------------------------------------------------------------------
+
+
+@query
+def extreme_weather_flag(spark, sf_dir):
+    weather = staged_weather(spark, sf_dir).select("series_id", "ts", "temp_2m")
+    return flags.extreme_flag(weather, "temp_2m", low=0.05, high=0.95)
+
+
+@query
+def anomaly_flags(spark, sf_dir):
+    marked = flags.residual_anomalies(naive_forecast(spark, sf_dir), k=2.5)
+    return rounded(marked.select("series_id", "ts", "y", "yhat", "z", "is_anomaly"))
+
+
+# --- files --------------------------------------------------------------------------------
+
+
+def fresh_path(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def load_csv_round_trip(spark, sf_dir):
+    """Load table to a ``;`` file under the file headers and back through the reader."""
+    back = {name: header for header, name in LOAD_HEADERS.items()}
+    load = load_table(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX"))
+    path = fresh_path(spark, "load-csv")
+    load.withColumnsRenamed(back).write.csv(path, sep=";", header=True)
+    return read_load_csv(spark, path)
+
+
+@query
+def weather_csv_round_trip(spark, sf_dir):
+    """Two weather files with decimal commas, read in order, later file wins."""
+    names = {"temp_2m": "Lufttemperatur 2 m ü. Boden", "global_rad": "Globalstrahlung; Zehnminutenmittel"}
+    readings = weather_readings(spark, sf_dir)
+    # Inside one file the row number decides: keep the last of each stamp before writing.
+    single = align.keep_last(readings.drop("note", "wind_scalar_ms").withColumn("f", F.col("file_no")),
+                             ["row_no"], keys=["series_id", "f"])
+    paths = []
+    for number in (0, 1):
+        text = single.where(F.col("file_no") == number).select(
+            "series_id",
+            F.date_format("ts", "dd.MM.yyyy HH:mm").alias("Date and Time"),
+            *[F.translate(F.col(c).cast("string"), ".", ",").alias(h) for c, h in names.items()],
+        )
+        paths.append(fresh_path(spark, f"weather-csv-{number}"))
+        text.write.csv(paths[-1], sep=";", header=True, encoding="ISO-8859-1")
+    return clean_weather(read_weather_csv(spark, paths)).select("series_id", "ts", *names)
+
+
+@query
+def features_csv_round_trip(spark, sf_dir):
+    features = stage(prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir)).drop("note"), "features")
+    path = fresh_path(spark, "features") + ".csv"
+    write_features_csv(features, path)
+    return rounded(read_features(spark, path))
+
+
+@query
+def features_parquet_round_trip(spark, sf_dir):
+    path = fresh_path(spark, "features-parquet")
+    write_features(prepare(staged_load(spark, sf_dir)), path)
+    data = load_and_split(spark, path, JANUARY)
+    return data.rows.groupBy("series_id", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+    )
+
+
+# --- forecasts ----------------------------------------------------------------------------
+
+EVERYTHING = DatasetConfig(
+    start="2024-01-01 00:00:00", end="2024-01-31 23:45:00", exclude_weather=(), exclude_lags=()
+)
+FIXED_MODEL = recursive.LinearStep(
+    4.0,
+    {
+        "hour_cos": 1.5, "weekday_sin": -0.75, "week": 0.05, "is_workday": 0.5, "temp_2m_lag15": 0.02,
+        "base_customers_lag_15m": 0.01, "lag_15m": 0.25, "lag_1h": 0.2, "lag_24h": 0.4, "diff_15m": -0.1,
+    },
+)
+
+
+def model_data(spark, sf_dir, cfg=EVERYTHING, extra=()) -> Dataset:
+    features = prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir))
+    data = model_rows(features, cfg, extra)
+    return Dataset(stage(data.rows, "model-rows"), data.features, data.weather, cfg)
+
+
+@query
+def recursive_linear_24h(spark, sf_dir):
+    rows = model_data(spark, sf_dir).rows
+    return rounded(recursive.forecast_linear(rows, recursive.midnight_origins(rows), FIXED_MODEL))
+
+
+@query
+def recursive_linear_blocks(spark, sf_dir):
+    rows = model_data(spark, sf_dir).rows
+    forecast = recursive.forecast_linear(rows, recursive.midnight_origins(rows), FIXED_MODEL)
+    return rounded(block_metrics(recursive.with_truth(forecast, rows), max_missing=70))
+
+
+@query
+def recursive_table_linear(spark, sf_dir):
+    rows = model_data(spark, sf_dir).rows
+    starts = recursive.histories(rows, recursive.midnight_origins(rows))
+    blocks = recursive.table_steps(starts, rows, FIXED_MODEL.features, combine=FIXED_MODEL.outside_score)
+    return rounded(recursive.forecast_rows(FIXED_MODEL.advance(blocks)))
+
+
+@query
+def next_day_forecast(spark, sf_dir):
+    rows = model_data(spark, sf_dir).rows
+    return rounded(recursive.next_day_forecast(
+        rows, lambda origins: recursive.forecast_linear(rows, origins, FIXED_MODEL)
+    ))
+
+
+@query
+def direct_linear_weights(spark, sf_dir):
+    """All 96 single-feature models from one pass."""
+    load = staged_load(spark, sf_dir).select("series_id", "ts", "load_kwh")
+    rows = lags.horizon_targets(positioned(load), "load_kwh")
+    fitted = direct.fit_direct_linear(rows, ["load_kwh"])
+    weights = [(h + 1, float(a), float(b)) for h, (a, b) in enumerate(fitted.weights.T)]
+    return rounded(spark.createDataFrame(weights, "h long, intercept double, slope double"))
+
+
+def direct_data(spark, sf_dir) -> Dataset:
+    data = model_data(spark, sf_dir)
+    rows = lags.horizon_targets(data.rows.drop("split"), "load_kwh")
+    again = importance.numbered(rows.drop("pos", "n_rows"))
+    return Dataset(stage(split.with_split(again), "direct-rows"), data.features, data.weather, data.cfg)
+
+
+@query
+def direct_linear_metrics(spark, sf_dir):
+    data = direct_data(spark, sf_dir)
+    fitted = direct.fit_direct_linear(data.train, data.features)
+    long = direct.paired(fitted.predict(data.rows), ("series_id", "ts", "split"))
+    return rounded(regression_metrics(long, keys=["split"]))
+
+
+@query
+def direct_linear_blocks(spark, sf_dir):
+    data = direct_data(spark, sf_dir)
+    fitted = direct.fit_direct_linear(data.train, data.features)
+    midnight = data.rows.where(resample.at_local_midnight())
+    long = direct.paired(fitted.predict(midnight), ("series_id", "ts", "split"))
+    blocks = block_metrics(long, block=["series_id", "split", "ts"], max_missing=None)
+    return rounded(block_summary(blocks, keys=["split"]))
+
+
+@query
+def direct_pooled_trees(spark, sf_dir):
+    data = direct_data(spark, sf_dir)
+    fitted = direct.fit_direct_pooled(data.train, data.features, rounds=2, depth=3)
+    long = direct.predict_pooled(fitted, data.rows, ("series_id", "ts", "split"))
+    return rounded(regression_metrics(long, keys=["split"]))
+
+
+@query
+def one_step_trees(spark, sf_dir):
+    data = model_data(spark, sf_dir)
+    fitted = models.fit_one_step(data.train, data.features, "gbt", rounds=5, depth=4)
+    scored = models.score(fitted, data.rows, data.features).withColumnRenamed("load_kwh", "y")
+    return rounded(scored.select("series_id", "ts", "split", "y", "yhat"))
+
+
+@query
+def model_comparison(spark, sf_dir):
+    data = model_data(spark, sf_dir)
+    candidates = {
+        "linear": models.linear(),
+        "gbt": models.boosted_trees(rounds=3, depth=3),
+        "rf": models.random_forest(trees=5, depth=5),
+    }
+    return rounded(models.compare_models(data, candidates)[1])
+
+
+@query
+def feature_ablation(spark, sf_dir):
+    features = stage(prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir)), "features")
+    selections = {
+        "all": EVERYTHING,
+        "no_weather": replace(EVERYTHING, use_weather=False),
+        "calendar_only": replace(EVERYTHING, use_weather=False, use_lags=False),
+        "default": replace(EVERYTHING, exclude_lags=DatasetConfig.exclude_lags),
+    }
+    return rounded(models.ablation(features, selections))
+
+
+@query
+def recursive_trees_24h(spark, sf_dir):
+    data = model_data(spark, sf_dir, replace(EVERYTHING, exclude_lags=DatasetConfig.exclude_lags))
+    fitted = models.fit_one_step(data.train, data.features, "gbt", rounds=3, depth=3)
+    origins = recursive.midnight_origins(data.test)
+    return rounded(recursive.forecast_model(data.rows, origins, fitted, data.features))
+
+
+def fitted_linear(data: Dataset):
+    return models.fit_one_step(data.train, data.features, "linear")
+
+
+@query
+def perm_importance_one_step(spark, sf_dir):
+    data = model_data(spark, sf_dir)
+    fitted = fitted_linear(data)
+
+    def predict(rows):
+        return models.score(fitted, rows, data.features).withColumnRenamed("load_kwh", "y")
+
+    return rounded(importance.one_step_importance(data.test, data.features, predict))
+
+
+@query
+def perm_importance_multi_output(spark, sf_dir):
+    data = direct_data(spark, sf_dir)
+    fitted = direct.fit_direct_linear(data.train, data.features)
+
+    def predict(rows):
+        keep = [c for c in ("series_id", "ts", "feature", "repeat") if c in rows.columns]
+        return direct.paired(fitted.predict(rows), keep)
+
+    return rounded(importance.multi_output_importance(data.test, data.features, predict))
+
+
+@query
+def perm_importance_recursive(spark, sf_dir):
+    data = model_data(spark, sf_dir)
+    model = recursive.linear_step(fitted_linear(data))
+    return rounded(importance.recursive_importance(
+        data.rows, model.features, model.advance, max_missing=96, combine=model.outside_score
+    ))
+
+
+def order_days(spark, sf_dir) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return orders.groupBy(
+        F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("ds")
+    ).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("y"))
+
+
+@query
+def daily_seasonal_forecast(spark, sf_dir):
+    model = daily.DailyModel()
+    frame = daily.daily_frame(stage(order_days(spark, sf_dir), "days"))
+    return rounded(daily.predict_daily(frame, daily.fit_daily(frame, model), model).drop("pos", "n_rows"))
+
+
+@query
+def daily_seasonal_metrics(spark, sf_dir):
+    model = daily.DailyModel()
+    frame = daily.daily_frame(stage(order_days(spark, sf_dir), "days"))
+    forecast = daily.predict_daily(frame, daily.fit_daily(frame, model), model)
+    errors = regression_metrics(forecast, keys=["series_id", "split"]).drop("mape")
+    low = score_by(forecast, bias, ["series_id", "split"]).withColumnRenamed("score", "bias")
+    share = score_by(forecast, mape_floor, ["series_id", "split"]).withColumnRenamed("score", "mape")
+    key = ["series_id", "split"]
+    return rounded(errors.join(low, key).join(share, key))

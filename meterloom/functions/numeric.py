@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL = 1e-6  # stands in for a zero actual in percentage errors
@@ -62,13 +62,24 @@ def _polynomial(x: Column, coefficients: tuple[float, ...]) -> Column:
     return result
 
 
-def inverse_normal(p: Column) -> Column:
-    """Quantile of the standard normal distribution for 0 < p < 1, to double precision."""
-    q = p - 0.5
-    centre = F.lit(0.180625) - q * q
-    central = q * _polynomial(centre, _CENTRE_TOP) / _polynomial(centre, _CENTRE_BOTTOM)
-    r = F.sqrt(-F.log(F.when(q < 0, p).otherwise(1 - p)))
-    near = _polynomial(r - 1.6, _NEAR_TOP) / _polynomial(r - 1.6, _NEAR_BOTTOM)
-    far = _polynomial(r - 5.0, _FAR_TOP) / _polynomial(r - 5.0, _FAR_BOTTOM)
-    tail = F.when(r <= 5, near).otherwise(far)
-    return F.when(F.abs(q) <= 0.425, central).otherwise(F.when(q < 0, -tail).otherwise(tail))
+def with_inverse_normal(df: DataFrame, p: Column, name: str) -> DataFrame:
+    """Add the standard normal quantile of ``p`` (0 < p < 1), to double precision.
+
+    The steps are columns of their own, so that each is computed once per row.
+    """
+    steps = df.withColumn("_p", p)
+    q = F.col("_p") - 0.5
+    steps = steps.withColumns(
+        {
+            "_q": q,
+            "_c": F.lit(0.180625) - q * q,
+            "_r": F.sqrt(-F.log(F.least(F.col("_p"), 1 - F.col("_p")))),
+        }
+    )
+    c, near, far = F.col("_c"), F.col("_r") - 1.6, F.col("_r") - 5.0
+    central = F.col("_q") * _polynomial(c, _CENTRE_TOP) / _polynomial(c, _CENTRE_BOTTOM)
+    tail = F.when(
+        F.col("_r") <= 5, _polynomial(near, _NEAR_TOP) / _polynomial(near, _NEAR_BOTTOM)
+    ).otherwise(_polynomial(far, _FAR_TOP) / _polynomial(far, _FAR_BOTTOM))
+    value = F.when(F.abs("_q") <= 0.425, central).otherwise(F.signum("_q") * tail)
+    return steps.withColumn(name, value).drop("_p", "_q", "_c", "_r")

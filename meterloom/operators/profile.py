@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterloom.config import TARGET
 from meterloom.functions.calendar import WEEKDAY_HEADERS
-from meterloom.functions.numeric import inverse_normal
+from meterloom.functions.numeric import with_inverse_normal
 from meterloom.operators.ordering import KEYS, salted_join
 from meterloom.operators.ranks import exact_quantiles, explode_ranks, value_ranks
 
@@ -131,8 +131,8 @@ def normal_qq(df: DataFrame, value: str = TARGET, *, keys: Sequence[str] = KEYS)
     median = (
         F.when(i == n, end).when(i == 1, 1 - end).otherwise((i - 0.3175) / (n + 0.365))
     )
-    return rows.select(
-        *keys, F.col("rank"), inverse_normal(median).alias("theoretical"), value
+    return with_inverse_normal(rows, median, "theoretical").select(
+        *keys, "rank", "theoretical", value
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators need for right results or for the intended plans.
@@ -21,7 +23,12 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session.
+
+    Functions sent to Python workers carry their code, so executors need no
+    installed copy of this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules["meterloom"])
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark

@@ -78,7 +78,7 @@ def main() -> None:
             sql_took = time.time() - start - took
             print(f"{name:32s} {took:6.1f}s sql {sql_took:5.1f}s rows {len(got):7d} {difference(got, want) or 'ok'}", flush=True)
         except Exception as error:  # report and go on with the next query
-            print(f"{name:32s} FAILED {type(error).__name__}: {str(error)[:1500]}", flush=True)
+            print(f"{name:32s} FAILED {type(error).__name__}: {str(error)[-1500:]}", flush=True)
 
 
 if __name__ == "__main__":
