@@ -151,13 +151,14 @@ def salted_join(
     keys: Sequence[str],
     spread: Sequence[str],
     *,
-    salts: int = 32,
+    salts: int = 16,
     how: str = "inner",
 ) -> DataFrame:
     """Attach one row per key to many rows per key without gathering a hot key in one task.
 
     ``small`` is repeated ``salts`` times; ``spread`` are the columns of ``big``
-    whose hash picks the copy.  With no keys this attaches a single row.
+    whose hash picks the copy.  With no keys this attaches a single row.  Nothing
+    is broadcast by hint: the measured size of ``small`` decides at run time.
     """
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -17,11 +17,17 @@ EXPLODE_STEP = 65536
 
 
 def value_ranks(
-    df: DataFrame, value: str, *, keys: Sequence[str] = (), ranges: int = 128
+    df: DataFrame,
+    value: str,
+    *,
+    keys: Sequence[str] = (),
+    ranges: int = 128,
+    split_over: int = 50_000,
 ) -> DataFrame:
     """Per key and distinct value: ``n_equal`` rows have it, ``n_below`` are smaller, of ``n_values``.
 
-    Approximate quantiles only choose the value ranges; the ranks are exact.
+    Groups with more than ``split_over`` distinct values are cut into value
+    ranges.  Approximate quantiles only choose the cuts; the ranks are exact.
     """
     counts = (
         df.where(F.col(value).isNotNull())
@@ -29,10 +35,19 @@ def value_ranks(
         .agg(F.count(F.lit(1)).alias("n_equal"))
     )
     cuts = [i / ranges for i in range(1, ranges)]
-    splits = counts.groupBy(*keys).agg(F.percentile_approx(value, cuts, 10000).alias("_splits"))
+    splits = (
+        counts.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("_distinct"),
+            F.percentile_approx(value, cuts, 10000).alias("_splits"),
+        )
+        .where(F.col("_distinct") > split_over)
+        .drop("_distinct")
+    )
+    below = F.size(F.filter("_splits", lambda s: s < F.col(value)))
     placed = (
-        salted_join(counts, splits, keys, [value])
-        .withColumn(CHUNK, F.size(F.filter("_splits", lambda s: s < F.col(value))))
+        salted_join(counts, splits, keys, [value], how="left")
+        .withColumn(CHUNK, F.when(F.col("_splits").isNotNull(), below).otherwise(0))
         .drop("_splits")
         .repartition(*keys, CHUNK)
     )
@@ -53,10 +68,15 @@ def value_ranks(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, quantiles: dict[str, float], *, keys: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    quantiles: dict[str, float],
+    *,
+    keys: Sequence[str] = (),
+    split_over: int = 50_000,
 ) -> DataFrame:
     """Linearly interpolated quantiles ``name -> probability`` per key."""
-    ranks = value_ranks(df, value, keys=keys)
+    ranks = value_ranks(df, value, keys=keys, split_over=split_over)
     held = []
     for name, p in quantiles.items():
         place = (F.col("n_values") - 1) * F.lit(float(p))

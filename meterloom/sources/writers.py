@@ -17,13 +17,12 @@ STAMP = "yyyy-MM-dd HH:mm:ssXXX"
 def write_features(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     """Parquet by year of the stamp, each file sorted by key: time filters prune and skip.
 
-    Rows are spread by series and month, so neither a long series nor a busy
-    month ends in one task.
+    Rows are rebalanced by year and series: large parts are split and small ones
+    merged to files of even size, however long one series is.
     """
-    month = F.date_trunc("month", "ts")
     (
         df.withColumn("ts_year", F.year("ts"))
-        .repartition(*KEYS, month)
+        .hint("rebalance", F.col("ts_year"), F.col("series_id"))
         .sortWithinPartitions("ts_year", *KEYS, "ts")
         .write.mode(mode)
         .partitionBy("ts_year")
