@@ -646,7 +646,7 @@ FIXED_MODEL = recursive.LinearStep(
 
 
 def model_data(spark, sf_dir, cfg=EVERYTHING, extra=()) -> Dataset:
-    features = prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir))
+    features = stage(prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir)), "features")
     data = model_rows(features, cfg, extra)
     return Dataset(stage(data.rows, "model-rows"), data.features, data.weather, cfg)
 
@@ -692,9 +692,8 @@ def direct_linear_weights(spark, sf_dir):
 
 def direct_data(spark, sf_dir) -> Dataset:
     data = model_data(spark, sf_dir)
-    rows = lags.horizon_targets(data.rows.drop("split"), "load_kwh")
-    again = importance.numbered(rows.drop("pos", "n_rows"))
-    return Dataset(stage(split.with_split(again), "direct-rows"), data.features, data.weather, data.cfg)
+    rows = split.with_split(lags.horizon_targets(data.rows.drop("split"), "load_kwh"))
+    return Dataset(stage(rows, "direct-rows"), data.features, data.weather, data.cfg)
 
 
 @query

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.config import STEP_SECONDS
-from meterloom.operators.ordering import CHUNK, CHUNK_ROWS, KEYS, chunk_of, salted_join, with_carry
+from meterloom.operators.ordering import (
+    CHUNK,
+    CHUNK_ROWS,
+    KEYS,
+    chunk_carry,
+    chunk_of,
+    salted_join,
+)
 
 
 def time_axis(
@@ -167,17 +174,18 @@ def _matches(
     stamp = F.when(F.col("_side") == 0, F.col(ts))
     seen = F.last("_hit", True)
     last = {"_carry_back": F.max_by("_hit", stamp)}
-    up = inside.orderBy(ts, "_side").rowsBetween(*so_far)
-    found = {"_back": F.coalesce(seen.over(up), F.col("_carry_back"))}
+    nearest = {"_back": seen.over(inside.orderBy(ts, "_side").rowsBetween(*so_far))}
     first = {}
     if forward:
         first = {"_carry_ahead": F.min_by("_hit", stamp)}
-        down = inside.orderBy(F.desc(ts), "_side").rowsBetween(*so_far)
-        found["_ahead"] = F.coalesce(seen.over(down), F.col("_carry_ahead"))
+        nearest["_ahead"] = seen.over(inside.orderBy(F.desc(ts), "_side").rowsBetween(*so_far))
+    found = {n: F.coalesce(n, f"_carry{n}") for n in nearest}
+    carry = chunk_carry(both, keys=keys, last=last, first=first)
     result = (
-        with_carry(both, keys=keys, last=last, first=first)
-        .select(*keys, CHUNK, ts, "_side", "_left", *[c.alias(n) for n, c in found.items()])
+        both.withColumns(nearest)
         .where("_side = 1")
+        .join(carry, [*keys, CHUNK])
+        .select(*keys, CHUNK, ts, "_left", *[c.alias(n) for n, c in found.items()])
     )
     kept = [F.col("_left").getField(c).alias(c) for c in left_cols]
     return result.select(*keys, CHUNK, ts, *kept, *found)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.config import STEP_SECONDS
-from meterloom.operators.ordering import CHUNK, KEYS, chunked, with_carry
+from meterloom.operators.ordering import CHUNK, KEYS, chunk_carry, chunked
 
 
 def knot(c: str, ts: str = "ts") -> Column:
@@ -24,38 +24,43 @@ def knot_carries(cols: Sequence[str], ts: str = "ts") -> dict[str, dict[str, Col
     }
 
 
-def neighbour_columns(
+def chunk_neighbours(
     cols: Sequence[str], keys: Sequence[str] = KEYS, ts: str = "ts"
 ) -> dict[str, Column]:
-    """``_prev_<c>`` / ``_next_<c>``: nearest known stamp and value on either side of a row."""
+    """``_prev_<c>`` / ``_next_<c>``: nearest known stamp and value inside the chunk of a row."""
     inside = Window.partitionBy(*keys, CHUNK)
     up = inside.orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
     down = inside.orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
-    found: dict[str, Column] = {}
-    for c in cols:
-        seen = F.last(knot(c, ts), True)
-        found[f"_prev_{c}"] = F.coalesce(seen.over(up), F.col(f"_before_{c}"))
-        found[f"_next_{c}"] = F.coalesce(seen.over(down), F.col(f"_after_{c}"))
-    return found
+    found = {f"_prev_{c}": F.last(knot(c, ts), True).over(up) for c in cols}
+    return found | {f"_next_{c}": F.last(knot(c, ts), True).over(down) for c in cols}
+
+
+def before(c: str) -> Column:
+    """Nearest known stamp and value at or before a row, in its chunk or carried from earlier ones."""
+    return F.coalesce(f"_prev_{c}", f"_before_{c}")
+
+
+def after(c: str) -> Column:
+    """Nearest known stamp and value at or after a row, in its chunk or carried from later ones."""
+    return F.coalesce(f"_next_{c}", f"_after_{c}")
 
 
 def line_between(c: str, ts: str = "ts") -> Column:
     """Known value, else the straight line in time between the neighbours, flat at the ends."""
     at = F.unix_micros(ts)
-    before, after = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
-    t0, t1 = F.unix_micros(before["t"]), F.unix_micros(after["t"])
-    line = before["v"] + (after["v"] - before["v"]) / (t1 - t0) * (at - t0)
+    t0, t1 = F.unix_micros(before(c)["t"]), F.unix_micros(after(c)["t"])
+    v0, v1 = before(c)["v"], after(c)["v"]
     return (
         F.when(F.col(c).isNotNull(), F.col(c))
-        .when(before.isNull(), after["v"])
-        .when(after.isNull(), before["v"])
-        .otherwise(line)
+        .when(t0.isNull(), v1)
+        .when(t1.isNull(), v0)
+        .otherwise(v0 + (v1 - v0) / (t1 - t0) * (at - t0))
     )
 
 
 def last_or_next(c: str) -> Column:
     """Last known value, else the first known one."""
-    return F.coalesce(F.col(f"_prev_{c}")["v"], F.col(f"_next_{c}")["v"])
+    return F.coalesce(before(c)["v"], after(c)["v"])
 
 
 def _filled(df, cols, keys, ts, step, fill) -> DataFrame:
@@ -63,10 +68,8 @@ def _filled(df, cols, keys, ts, step, fill) -> DataFrame:
         return df
     if CHUNK not in df.columns:
         df = chunked(df, keys=keys, ts=ts, step=step)
-    carried = with_carry(df, keys=keys, **knot_carries(cols, ts))
-    found = carried.select(
-        *df.columns, *[e.alias(n) for n, e in neighbour_columns(cols, keys, ts).items()]
-    )
+    carry = chunk_carry(df, keys=keys, **knot_carries(cols, ts))
+    found = df.withColumns(chunk_neighbours(cols, keys, ts)).join(carry, [*keys, CHUNK])
     return found.select(*[fill(c).alias(c) if c in cols else c for c in df.columns])
 
 

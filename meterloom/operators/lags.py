@@ -59,10 +59,14 @@ def horizon_targets(
     keys: Sequence[str] = KEYS,
     name: str = "targets",
 ) -> DataFrame:
-    """Array of the next ``horizon`` targets of every row that has all of them."""
+    """Array of the next ``horizon`` targets of every row that has all of them.
+
+    Targets are known in all rows, so the last ``horizon`` rows of a series drop
+    out; positions stay and ``n_rows`` counts the rows that are left.
+    """
     ahead = F.collect_list(target).over(block_window(keys).rowsBetween(1, horizon))
     out = with_frames(df, {name: ahead}, after=horizon, size=CHUNK_ROWS)
-    return out.where(F.size(name) == horizon)
+    return out.where(F.size(name) == horizon).withColumn("n_rows", F.col("n_rows") - horizon)
 
 
 def horizon_rows(df: DataFrame, *, name: str = "targets") -> DataFrame:

@@ -42,7 +42,7 @@ def chunked(
     return df.withColumn(CHUNK, chunk_of(ts, step, rows)).repartition(*keys, CHUNK)
 
 
-def with_carry(
+def chunk_carry(
     df: DataFrame,
     *,
     keys: Sequence[str] = KEYS,
@@ -51,12 +51,14 @@ def with_carry(
     last: Mapping[str, Column] | None = None,
     first: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Attach to every row what the other chunks of its series contribute.
+    """One row per chunk with what the other chunks of its series contribute.
 
     Each entry is ``name -> aggregate over the rows of one chunk``.  ``sums``
     adds up the chunks before, ``totals`` all chunks, ``last`` takes the nearest
     non-null among the chunks before and ``first`` among the chunks after.  The
-    summary has one row per chunk, so its windows stay small for any series.
+    windows run over chunks, not rows, so they stay small for any series.  Join
+    the result on (keys, chunk) after the windows inside the chunks, so that
+    their sorts do not carry it.
     """
     sums, totals, last, first = sums or {}, totals or {}, last or {}, first or {}
     summary = df.groupBy(*keys, CHUNK).agg(
@@ -65,7 +67,7 @@ def with_carry(
     series = Window.partitionBy(*keys)
     before = series.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     after = series.orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
+    return summary.select(
         *keys,
         CHUNK,
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums],
@@ -73,7 +75,6 @@ def with_carry(
         *[F.last(n, True).over(before).alias(n) for n in last],
         *[F.last(n, True).over(after).alias(n) for n in first],
     )
-    return df.join(carried, [*keys, CHUNK])
 
 
 def with_position(
@@ -93,11 +94,13 @@ def with_position(
     (see :func:`chunked`).
     """
     rows = F.count(F.lit(1))
+    carry = chunk_carry(df, keys=keys, sums={"_offset": rows}, totals={total: rows, **(totals or {})})
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     return (
-        with_carry(df, keys=keys, sums={"_offset": rows}, totals={total: rows, **(totals or {})})
-        .withColumn(pos, F.col("_offset") + F.row_number().over(inside) - 1)
-        .drop("_offset")
+        df.withColumn("_number", F.row_number().over(inside))
+        .join(carry, [*keys, CHUNK])
+        .withColumn(pos, F.col("_offset") + F.col("_number") - 1)
+        .drop("_offset", "_number")
     )
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.operators.ordering import CHUNK, salted_join, with_carry
+from meterloom.operators.ordering import CHUNK, chunk_carry, salted_join
 
 EXPLODE_STEP = 65536
 
@@ -57,13 +57,18 @@ def value_ranks(
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = with_carry(placed, keys=keys, sums={"_offset": rows}, totals={"n_values": rows})
-    return carried.select(
-        *keys,
-        value,
-        "n_equal",
-        (F.col("_offset") + F.coalesce(rows.over(inside), F.lit(0))).alias("n_below"),
-        "n_values",
+    carry = chunk_carry(placed, keys=keys, sums={"_offset": rows}, totals={"n_values": rows})
+    smaller = F.coalesce(rows.over(inside), F.lit(0))
+    return (
+        placed.withColumn("_smaller", smaller)
+        .join(carry, [*keys, CHUNK])
+        .select(
+            *keys,
+            value,
+            "n_equal",
+            (F.col("_offset") + F.col("_smaller")).alias("n_below"),
+            "n_values",
+        )
     )
 
 

@@ -10,13 +10,13 @@ from meterloom.functions.calendar import day_flags, local_parts
 from meterloom.functions.numeric import try_double, try_long
 from meterloom.operators.align import keep_last, regrid, time_axis, weather_slots
 from meterloom.operators.fill import (
+    chunk_neighbours,
     knot_carries,
     last_or_next,
     line_between,
-    neighbour_columns,
 )
 from meterloom.operators.lags import load_features
-from meterloom.operators.ordering import CHUNK, KEYS, with_carry
+from meterloom.operators.ordering import CHUNK, KEYS, chunk_carry
 
 
 def clean_weather(weather: DataFrame, order: tuple[str, ...] = ("file_no", "row_no")) -> DataFrame:
@@ -52,24 +52,24 @@ def positioned_rows(grid: DataFrame, cfg: PrepareConfig, measured=(), text=()) -
 
     Filling and counting share one chunk summary and one pass.
     """
-    known = F.col(cfg.target).isNotNull()
     filled = [*measured, *text]
-    carried = with_carry(
+    carry = chunk_carry(
         grid,
         sums={"_offset": F.count(cfg.target)},
         totals={"n_rows": F.count(cfg.target)},
         **knot_carries(filled),
     )
     up = Window.partitionBy(*KEYS, CHUNK).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    found = carried.select(
-        *grid.columns,
-        "n_rows",
-        (F.col("_offset") + F.count(cfg.target).over(up) - 1).alias("pos"),
-        *[e.alias(n) for n, e in neighbour_columns(filled).items()],
-    ).where(known)
+    found = (
+        grid.withColumns({"_number": F.count(cfg.target).over(up)} | chunk_neighbours(filled))
+        .where(F.col(cfg.target).isNotNull())
+        .join(carry, [*KEYS, CHUNK])
+    )
     lines = {c: line_between(c) for c in measured} | {c: last_or_next(c) for c in text}
     return found.select(
-        *[lines[c].alias(c) if c in lines else c for c in grid.columns], "n_rows", "pos"
+        *[lines[c].alias(c) if c in lines else c for c in grid.columns],
+        "n_rows",
+        (F.col("_offset") + F.col("_number") - 1).alias("pos"),
     )
 
 

@@ -165,7 +165,7 @@ def test_least_squares(spark):
 
 def direct_rows(data):
     rows = lags.horizon_targets(data.rows.drop("split"), "load_kwh")
-    return stage(split.with_split(importance.numbered(rows.drop("pos", "n_rows"))))
+    return stage(split.with_split(rows))
 
 
 def test_direct_linear_equals_separate_fits(spark, data):
