@@ -462,7 +462,7 @@ DRAW = "md5('42|' || series_id || '|' || epoch(ts)::BIGINT)"
 define("time_split", """SELECT series_id, ts, CASE WHEN pos < floor(n_rows * 0.7::DOUBLE) THEN 'train' ELSE 'test' END AS split
                         FROM pos""", "pos")
 define("tail_sample", "SELECT series_id, ts, load_kwh FROM pos WHERE pos >= n_rows - 500", "pos")
-define("seeded_sample", f"SELECT series_id, ts, load_kwh FROM load0 ORDER BY {DRAW}, series_id, ts LIMIT 800", "load0")
+define("seeded_sample", f"SELECT series_id, ts, load_kwh FROM load0 ORDER BY {DRAW}, series_id, ts LIMIT 8000", "load0")
 define("seeded_origins", f"""SELECT series_id, ts FROM load WHERE hour(lt) = 0 AND minute(lt) = 0
                              ORDER BY {DRAW}, series_id, ts LIMIT 40""", "load")
 define("column_shuffle", """
@@ -625,3 +625,93 @@ define("direct_linear_weights", f"""
     SELECT h, {r6('regr_intercept(b.load_kwh, a.load_kwh)', 'intercept')}, {r6('regr_slope(b.load_kwh, a.load_kwh)', 'slope')}
     FROM pos a CROSS JOIN range(1, 97) t(h) JOIN pos b ON a.series_id = b.series_id AND b.pos = a.pos + h
     WHERE a.pos + 96 < a.n_rows GROUP BY h""", "pos")
+
+# --- permutation importance of the fixed linear model -------------------------------------
+
+# Weight and value of every feature of the fixed model; a missing value counts as 0.
+FIXED_TERMS = {
+    "hour_cos": (1.5, "cos(2 * pi() * local_hour / 24)"),
+    "weekday_sin": (-0.75, "sin(2 * pi() * weekday / 7)"),
+    "week": (0.05, "week::DOUBLE"),
+    "is_workday": (0.5, "is_workday::DOUBLE"),
+    "temp_2m_lag15": (0.02, "coalesce(temp_2m_lag15, 0)"),
+    "base_customers_lag_15m": (0.01, "coalesce(base_customers_lag_15m, 0)"),
+    "lag_15m": (0.25, "lag_15m"),
+    "lag_1h": (0.2, "lag_1h"),
+    "lag_24h": (0.4, "lag_24h"),
+    "diff_15m": (-0.1, "diff_15m"),
+}
+_vector = "[" + ", ".join(f"{w} * {x}" for w, x in FIXED_TERMS.values()) + "]"
+_names = "[" + ", ".join(f"'{n}'" for n in FIXED_TERMS) + "]"
+PARTS["test_rows"] = f"""
+        SELECT series_id, ts, load_kwh AS y, {_vector} AS terms, p - floor(n * 0.7::DOUBLE)::BIGINT AS i, n,
+               p, local_hour, local_time
+        FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM january)
+        WHERE p >= floor(n * 0.7::DOUBLE)"""
+NEEDS["test_rows"] = ["january"]
+
+
+def shuffled(source: str, repeats: int) -> dict[str, str]:
+    """Each row of ``source(series_id, ts, i, terms)`` with the terms of its donor, per repeat."""
+    return {
+        "drawn": f"""SELECT series_id, terms, repeat, row_number() OVER (PARTITION BY series_id, repeat
+                 ORDER BY md5('42|' || series_id || '|' || repeat || '|' || epoch(ts)::BIGINT)) - 1 AS i
+                 FROM {source} CROSS JOIN range(1, {repeats + 1}) t(repeat)""",
+        "donated": f"""SELECT s.*, d.repeat, d.terms AS donor FROM {source} s JOIN drawn d
+                 ON d.series_id = s.series_id AND d.i = s.i""",
+    }
+
+
+def ranked_changes(prefix: str) -> str:
+    mean, std = {"importance": ("importance_mean", "importance_std"),
+                 "delta": ("delta_rmse_mean", "delta_rmse_std")}[prefix]
+    return f"""SELECT feature, {r6('avg(change)', mean)}, {r6('stddev_pop(change)', std)}
+               FROM changes GROUP BY feature"""
+
+
+define("perm_importance_fixed_model", ranked_changes("importance"), "test_rows",
+       tail=f"""SELECT series_id, ts, y, terms, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS i
+                FROM test_rows WHERE p >= n - 20000""",
+       **shuffled("tail", 10),
+       base="SELECT sqrt(avg((y - 4.0::DOUBLE - list_sum(terms)) ^ 2)) AS rmse FROM tail",
+       changes=f"""SELECT feature, repeat, sqrt(avg((y - 4.0::DOUBLE - list_sum(terms) + terms[f] - donor[f]) ^ 2))
+                          - any_value(rmse) AS change
+                   FROM donated CROSS JOIN (SELECT unnest({_names}) AS feature, unnest(range(1, 11)) AS f) CROSS JOIN base
+                   GROUP BY feature, repeat""")
+
+_outside = "list_sum(terms[1:6])"
+SQL["perm_importance_fixed_recursion"] = with_parts(
+    ranked_changes("delta"), "test_rows", "starts", "january", recursive=True,
+    **shuffled("test_rows", 5),
+    picked=f"""SELECT series_id, ts AS origin FROM test_rows
+               WHERE right(local_time, 5) = '00:00' AND local_hour = 0
+               ORDER BY md5('42|' || series_id || '|' || epoch(ts)::BIGINT), series_id, ts LIMIT 40""",
+    begun="SELECT s.* FROM starts s JOIN picked USING (series_id, origin)",
+    variants=f"""
+        SELECT series_id, ts, 'none' AS feature, 0::BIGINT AS repeat, {_vector} AS terms FROM january
+        UNION ALL
+        SELECT series_id, ts, feature, repeat,
+               list_transform(range(1, 11), lambda k: CASE WHEN k = f THEN donor[k] ELSE terms[k] END)
+        FROM donated CROSS JOIN (SELECT unnest({_names}) AS feature, unnest(range(1, 11)) AS f)""",
+    steps=f"""
+        SELECT b.series_id, b.origin, v.feature, v.repeat, h, v.ts, 4.0::DOUBLE + {_outside} AS score
+        FROM (SELECT *, unnest(range(1, 97)) AS h FROM begun) b JOIN variants v
+          ON v.series_id = b.series_id AND v.ts = b.start + (h - 1) * INTERVAL 15 MINUTE""",
+    run="""
+        SELECT series_id, origin, feature, repeat, 0::BIGINT AS h, NULL::TIMESTAMP AS ts, hist, NULL::DOUBLE AS yhat
+        FROM begun CROSS JOIN (SELECT DISTINCT feature, repeat FROM steps)
+        UNION ALL
+        SELECT series_id, origin, feature, repeat, h, ts, list_append(hist[2:], yhat), yhat FROM (
+            SELECT r.series_id, r.origin, r.feature, r.repeat, s.h, s.ts, r.hist,
+                   s.score + 0.25 * r.hist[96] + 0.2 * r.hist[93] + 0.4 * r.hist[1]
+                   - 0.1 * (r.hist[96] - r.hist[95]) AS yhat
+            FROM run r JOIN steps s ON s.series_id = r.series_id AND s.origin = r.origin
+              AND s.feature = r.feature AND s.repeat = r.repeat AND s.h = r.h + 1)""",
+    block_errors="""
+        SELECT r.feature, r.repeat, sqrt(avg((j.load_kwh - r.yhat) ^ 2)) AS rmse
+        FROM run r LEFT JOIN january j USING (series_id, ts) WHERE r.h > 0
+        GROUP BY r.series_id, r.origin, r.feature, r.repeat HAVING count(j.load_kwh) >= 10""",
+    scores_by="SELECT feature, repeat, avg(rmse) AS score FROM block_errors GROUP BY 1, 2",
+    changes="""SELECT feature, score - (SELECT score FROM scores_by WHERE feature = 'none') AS change
+               FROM scores_by WHERE feature <> 'none'""",
+)

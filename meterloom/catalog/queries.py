@@ -448,7 +448,7 @@ def tail_sample(spark, sf_dir):
 
 @query
 def seeded_sample(spark, sf_dir):
-    return split.seeded_sample(load_table(spark, sf_dir).select("series_id", "ts", "load_kwh"), 800)
+    return split.seeded_sample(load_table(spark, sf_dir).select("series_id", "ts", "load_kwh"), 8000)
 
 
 @query
@@ -776,6 +776,30 @@ def perm_importance_one_step(spark, sf_dir):
     return rounded(importance.one_step_importance(data.test, data.features, predict))
 
 
+def fixed_prediction(rows: DataFrame) -> DataFrame:
+    """Forecast of the fixed linear model from the table's own features."""
+    outside = FIXED_MODEL.outside_score()
+    own = sum(F.lit(FIXED_MODEL.weights[c]) * F.col(c) for c in ("lag_15m", "lag_1h", "lag_24h", "diff_15m"))
+    return rows.withColumn("yhat", outside + own).withColumnRenamed("load_kwh", "y")
+
+
+@query
+def perm_importance_fixed_model(spark, sf_dir):
+    data = model_data(spark, sf_dir)
+    return rounded(importance.one_step_importance(
+        data.test, FIXED_MODEL.features, fixed_prediction
+    ))
+
+
+@query
+def perm_importance_fixed_recursion(spark, sf_dir):
+    data = model_data(spark, sf_dir)
+    return rounded(importance.recursive_importance(
+        data.rows, FIXED_MODEL.features, FIXED_MODEL.advance, max_missing=96,
+        combine=FIXED_MODEL.outside_score,
+    ))
+
+
 @query
 def perm_importance_multi_output(spark, sf_dir):
     data = direct_data(spark, sf_dir)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.feature import Imputer, ImputerModel, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +95,16 @@ def score(model: PipelineModel, rows: DataFrame, features: Sequence[str] = ()) -
     return scored.withColumnRenamed("prediction", "yhat").drop(VECTOR, *helpers)
 
 
+def scoring_parts(model: PipelineModel) -> tuple[list[str], dict[str, float], Model]:
+    """Feature names in order, what a missing one counts as, and the predictor of a pipeline."""
+    filling, assembler, predictor = model.stages
+    names = [c.removesuffix(KNOWN) for c in assembler.getInputCols()]
+    if isinstance(filling, ImputerModel):
+        means = filling.surrogateDF.first().asDict()
+        return names, {c: float(means[c]) for c in names}, predictor
+    return names, dict.fromkeys(names, float(MISSING.removesuffix("D"))), predictor
+
+
 def evaluate(model: PipelineModel, data: Dataset, name: str) -> DataFrame:
     """One row: model name and its errors on training and test rows."""
     target = data.cfg.target

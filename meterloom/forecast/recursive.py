@@ -11,11 +11,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.config import LOCAL_TZ, SLOTS_PER_DAY, STEP_SECONDS, TARGET
-from meterloom.forecast.models import score
+from meterloom.forecast.models import VECTOR, scoring_parts
 from meterloom.functions.calendar import calendar_parts, cyclic, day_flags, to_local
 from meterloom.operators.align import asof_backward
 from meterloom.operators.ordering import CHUNK, KEYS
@@ -25,7 +26,6 @@ from meterloom.session import stage
 LAG_ROWS = {"lag_15m": 1, "lag_30m": 2, "lag_1h": 4, "lag_24h": 96}
 CUSTOMER_LAGS = ("base_customers_lag_15m", "free_customers_lag_15m")
 CALENDAR_MODES = ("reference", "consistent")
-Advance = Callable[[DataFrame], DataFrame]
 
 
 def midnight_origins(rows: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
@@ -240,38 +240,37 @@ class LinearStep:
 
 def linear_step(model: PipelineModel) -> LinearStep:
     """The fitted linear pipeline as a :class:`LinearStep`."""
-    imputer, assembler, fitted = model.stages
-    names = [c.removesuffix("__known") for c in assembler.getInputCols()]
-    means = imputer.surrogateDF.first().asDict()
+    names, fill, fitted = scoring_parts(model)
     weights = dict(zip(names, map(float, fitted.coefficients)))
-    return LinearStep(float(fitted.intercept), weights, {c: float(means[c]) for c in names})
+    return LinearStep(float(fitted.intercept), weights, fill)
 
 
 def advance_with_model(
     blocks: DataFrame,
     model: PipelineModel,
-    features: Sequence[str],
     *,
     horizon: int = SLOTS_PER_DAY,
     stage_every: int = 12,
 ) -> DataFrame:
     """Advance all blocks step by step with any fitted pipeline.
 
-    Each step is a projection and a ``transform``.  Every few steps the state is
-    written to the shared folder, which keeps the plan short.
+    Each step is a projection and a ``transform`` without shuffle.  Every few
+    steps the state is written to the shared folder, which keeps the plan short.
     """
+    names, fill, predictor = scoring_parts(model)
     block = [c for c in blocks.columns if c not in ("hist", "steps")]
-    outside = [f.name for f in blocks.schema["steps"].dataType.elementType.fields
-               if f.name not in ("h", "ts")]
+    outside = blocks.schema["steps"].dataType.elementType.names
+    lags = {c: f"element_at(hist, -{k})" for c, k in LAG_ROWS.items()}
+    lags["diff_15m"] = "element_at(hist, -1) - element_at(hist, -2)"
     state = blocks
     for h in range(1, horizon + 1):
-        now = F.get("steps", F.lit(h - 1))
-        inputs = {c: now[c].cast("double") for c in outside}
-        scored = score(model, state.withColumns(inputs | lag_inputs(F.col("hist"), features)), features)
-        grown = F.concat("hist", F.array("yhat"))
-        state = scored.select(
-            *block, F.when(F.size("steps") >= h, grown).otherwise(F.col("hist")).alias("hist"), "steps"
-        )
+        now = {c: f"get(steps, {h - 1}).`{c}`" for c in outside} | lags
+        known = [f"coalesce(double({now.get(c, 'null')}), {fill[c]!r}D)" for c in names]
+        inputs = state.selectExpr(*block, "hist", "steps", f"array({', '.join(known)}) as _x")
+        vector = array_to_vector(F.col("_x")).alias(VECTOR)
+        scored = predictor.transform(inputs.select(*block, "hist", "steps", vector))
+        grown = f"if(size(steps) >= {h}, concat(hist, array(prediction)), hist) as hist"
+        state = scored.selectExpr(*block, grown, "steps")
         if h % stage_every == 0 and h < horizon:
             state = stage(state, "recursion")
     return state
@@ -307,7 +306,7 @@ def forecast_model(
     """Recursive forecast of every origin with a fitted pipeline."""
     starts = histories(rows, origins, target=target)
     blocks = stage(recomputed_steps(starts, rows, features, horizon=horizon, mode=mode), "blocks")
-    return forecast_rows(advance_with_model(blocks, model, features, horizon=horizon))
+    return forecast_rows(advance_with_model(blocks, model, horizon=horizon))
 
 
 def with_truth(forecast: DataFrame, rows: DataFrame, target: str = TARGET) -> DataFrame:

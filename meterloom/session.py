@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
+# Only read when a session starts: no call-site lookup for every column expression.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session.
@@ -39,7 +42,7 @@ def get_session(app: str = "meterloom", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
+    for key, value in {**START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
