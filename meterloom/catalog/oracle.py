@@ -453,7 +453,7 @@ def decomposition(rows: str, y: str, period: int, *parts: str, **extra: str) ->
 SQL["seasonal_decompose"] = decomposition("hourly", "load_kwh", 168, "hourly")
 SQL["seasonal_decompose_daily"] = decomposition(
     "days", "y", 7,
-    days="""SELECT o_orderpriority AS series_id, o_orderdate AS ts, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS y
+    days="""SELECT o_orderpriority AS series_id, o_orderdate AS ts, sum(o_totalprice::DECIMAL(18,2))::DOUBLE / 1000 AS y
             FROM orders GROUP BY 1, 2""")
 
 # --- splits and samples -------------------------------------------------------------------

@@ -427,7 +427,7 @@ def seasonal_decompose_daily(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     days = orders.groupBy(
         F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").cast("timestamp").alias("ts")
-    ).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("y"))
+    ).agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / 1000).alias("y"))
     return rounded(correlate.seasonal_parts(stage(days, "days"), "y", period=7, step=86400))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.config import STEP_SECONDS
+from meterloom.session import stage
 
 CHUNK = "_chunk"
 BLOCK = "_block"
@@ -159,10 +160,12 @@ def salted_join(
 ) -> DataFrame:
     """Attach one row per key to many rows per key without gathering a hot key in one task.
 
-    ``small`` is repeated ``salts`` times; ``spread`` are the columns of ``big``
-    whose hash picks the copy.  With no keys this attaches a single row.  Nothing
-    is broadcast by hint: the measured size of ``small`` decides at run time.
+    ``small`` is computed and written first, so that its true size is known when
+    the join is planned: below the broadcast threshold the rows of ``big`` stay
+    where they are.  Above it ``small`` is repeated ``salts`` times and
+    ``spread``, columns of ``big``, picks the copy by hash.
     """
+    small = stage(small, "attached")
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

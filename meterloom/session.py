@@ -65,8 +65,10 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and gives later joins true sizes.
+    All tables of an application share one folder, to be cleared when it ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/{app}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -96,3 +96,40 @@ def test_period_filter_reaches_the_scan(spark, tmp_path):
     )
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     assert "ts_year" in plan.split("PartitionFilters")[1].splitlines()[0]
+
+
+def test_small_side_is_broadcast_only_when_its_measured_size_allows(spark):
+    from meterloom.operators.ordering import salted_join
+
+    big = spark.range(5000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    joined = salted_join(big, small, ["k"], ["id"])
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    want = joined.agg(F.sum("n"), F.count("id")).first()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = salted_join(big, small, ["k"], ["id"])
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.agg(F.sum("n"), F.count("id")).first() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert want[1] == 5000
+
+
+def test_feature_plan_gives_the_same_rows_without_broadcasts(spark):
+    def total():
+        load = stage(load_table(spark, SF_DIR))
+        weather = stage(clean_weather(weather_readings(spark, SF_DIR)))
+        return prepare(load, weather).agg(
+            F.count(F.lit(1)), F.round(F.sum("temp_2m_lag15"), 4), F.round(F.sum("lag_24h"), 4),
+            F.sum(F.hash("note").cast("long")),
+        ).first()
+
+    want = total()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert total() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
