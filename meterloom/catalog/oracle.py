@@ -216,6 +216,14 @@ def box(key: str | None, source: str) -> tuple[str, str]:
     return body, boxed
 
 
+def r2_rule(y: str, yhat: str, f: str = "") -> str:
+    """R² of at least two values; constant actuals score 1 without error, else 0."""
+    left_over = f"sum(({y} - {yhat}) ^ 2){f}"
+    return f"""CASE WHEN count({y}){f} < 2 THEN NULL
+        WHEN var_pop({y}){f} = 0 THEN CASE WHEN {left_over} = 0 THEN 1.0 ELSE 0.0 END
+        ELSE 1 - {left_over} / (var_pop({y}){f} * count({y}){f}) END"""
+
+
 def metric_columns(y: str = "y", yhat: str = "yhat", suffix: str = "", where: str = "") -> str:
     """Rounded error aggregates; ``where`` restricts the rows of each."""
     f = f" FILTER (WHERE {where})" if where else ""
@@ -223,7 +231,7 @@ def metric_columns(y: str = "y", yhat: str = "yhat", suffix: str = "", where: st
         [
             r6(f"avg(abs({y} - {yhat})){f}", f"mae{suffix}"),
             r6(f"sqrt(avg(({y} - {yhat}) ^ 2){f})", f"rmse{suffix}"),
-            r6(f"1 - sum(({y} - {yhat}) ^ 2){f} / (var_pop({y}){f} * count({y}){f})", f"r2{suffix}"),
+            r6(r2_rule(y, yhat, f), f"r2{suffix}"),
             r6(f"avg(abs(({y} - {yhat}) / CASE WHEN {y} = 0 THEN 1e-6 ELSE {y} END)){f} * 100", f"mape{suffix}"),
         ]
     )
@@ -492,16 +500,8 @@ define("best_model_by_rmse", f"""
         UNION ALL
         SELECT series_id, 'slot_before', sqrt(avg((y - yhat_1) ^ 2)) FROM naive WHERE split = 'test' GROUP BY 1)
     QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY rmse, model) = 1""", "naive")
-# Blocks may be constant or single-valued in the sparse tables; R² follows the stated rule there.
-BLOCK_METRICS = metric_columns().replace(
-    "1 - sum((y - yhat) ^ 2) / (var_pop(y) * count(y))",
-    """CASE WHEN var_pop(y) = 0 THEN CASE WHEN sum((y - yhat) ^ 2) = 0 THEN 1.0 ELSE 0.0 END
-             ELSE 1 - sum((y - yhat) ^ 2) / (var_pop(y) * count(y)) END""")
-
-
-BLOCK_ERRORS = """avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat) ^ 2)) AS rmse,
-    CASE WHEN var_pop(y) = 0 THEN CASE WHEN sum((y - yhat) ^ 2) = 0 THEN 1.0 ELSE 0.0 END
-         ELSE 1 - sum((y - yhat) ^ 2) / (var_pop(y) * count(y)) END AS r2,
+BLOCK_METRICS = metric_columns()
+BLOCK_ERRORS = f"""avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat) ^ 2)) AS rmse, {r2_rule('y', 'yhat')} AS r2,
     avg(abs((y - yhat) / CASE WHEN y = 0 THEN 1e-6 ELSE y END)) * 100 AS mape"""
 
 
