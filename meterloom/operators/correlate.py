@@ -18,6 +18,7 @@ from meterloom.operators.ordering import (
     with_frames,
     with_position,
 )
+from meterloom.session import stage
 
 # Fixed value: 97.5 % point of the standard normal distribution.
 Z_95 = 1.959963984540054
@@ -79,11 +80,14 @@ def autocorrelation(
     are summed per task before the shuffle.
     """
     rows = with_position(chunked(df.where(F.col(value).isNotNull()), keys=keys))
-    kept = rows.where(F.col("pos") % thin == 0).select(
-        *keys,
-        F.floor(F.col("pos") / thin).alias("pos"),
-        F.ceil(F.col("n_rows") / thin).alias("n_rows"),
-        value,
+    kept = stage(
+        rows.where(F.col("pos") % thin == 0).select(
+            *keys,
+            F.floor(F.col("pos") / thin).alias("pos"),
+            F.ceil(F.col("n_rows") / thin).alias("n_rows"),
+            value,
+        ),
+        "thinned",
     )
     means = kept.groupBy(*keys).agg(F.avg(value).alias("_mean"))
     centred = salted_join(kept, means, keys, ["pos"]).withColumn("_x", F.col(value) - F.col("_mean"))
