@@ -30,8 +30,8 @@ def test_load_file(spark, tmp_path):
 def test_weather_files(spark, tmp_path):
     header = '"station_abbr";" Date and Time ";"Lufttemperatur 2 m ü. Boden";"Globalstrahlung; Zehnminutenmittel"\n'
     one, two = tmp_path / "1.csv", tmp_path / "2.csv"
-    one.write_text(header + "BAS;01.02.2020 00:00;1,5;3\nBAS;01.02.2020 00:10;-0,25;-\n", encoding="latin1")
-    two.write_text(header + "BAS;01.02.2020 00:10;9,0;4\n", encoding="latin1")
+    one.write_text(header + "XYZ;01.02.2020 00:00;1,5;3\nXYZ;01.02.2020 00:10;-0,25;-\n", encoding="latin1")
+    two.write_text(header + "XYZ;01.02.2020 00:10;9,0;4\n", encoding="latin1")
     df = clean_weather(readers.read_weather_csv(spark, [str(one), str(two)]))
     assert values(df, "temp_2m", "global_rad") == [(1.5, 3.0), (9.0, 4.0)]
 
