@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 from . import bpe, decontaminate, idstore, langid, licenses, quality, reputation, rules, secrets, simhash
 from .common import table
+from .oracle import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,6 +78,3 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-
-
-SQL: dict[str, str] = {}

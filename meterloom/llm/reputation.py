@@ -156,6 +156,6 @@ def judge_urls(
         "path",
         rule.alias("rule"),
         F.coalesce(verdict, own).alias("verdict"),
-        F.col("mean").alias("bad_rate"),
-        F.col("bound").alias("low_bound"),
+        F.round("mean", 9).alias("bad_rate"),
+        F.round("bound", 9).alias("low_bound"),
     )

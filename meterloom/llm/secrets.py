@@ -42,7 +42,6 @@ ALLOWED = (
 )
 MARK = "[secret]"
 _BLOCK = 512
-_SPAN = "struct<start:int,kind:int,end:int>"
 
 
 def _located(text: Column, pattern: str, hits: Column) -> Column:
@@ -120,10 +119,11 @@ def secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     found = [_located(whole, p, F.col(f"_hits{i}")) for i, p in enumerate((ASSIGN, ACCESS, HEX, CANDIDATE))]
     value = lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= MIN_VALUE
     plain = [F.filter(found[0], value), found[1], found[2]]
-    spans = [
-        F.transform(x, lambda s, i=i: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end")))
-        for i, x in enumerate(plain)
-    ]
+
+    def of_kind(kind: int):
+        return lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"))
+
+    spans = [F.transform(x, of_kind(kind)) for kind, x in enumerate(plain)]
     odd = F.filter(found[3], lambda x: _limit(x["match"]).isNotNull() & ~x["match"].rlike(ALLOWED))
     marked = F.transform(odd, lambda x: F.struct(x["start"].alias("start"), _entropy_span(x).alias("at")))
     spans.append(
