@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Text bytes that a task works on at once; one text may be longer.
 SLICE_BYTES = 4 << 20
@@ -61,14 +62,17 @@ def map_texts(
     ship_code()
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType)])
     schema = T.StructType(schema.fields + T.StructType.fromDDL(columns).fields)
-    names = schema.names
+    kinds = {f.name: f.type for f in to_arrow_schema(schema)}
+
+    def typed(name: str, values) -> pa.Array:
+        return values if isinstance(values, pa.Array) else pa.array(values, kinds[name])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         for batch in batches:
             for part in slices(batch, "text"):
                 out = work(part)
-                yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in names], names)
+                yield pa.RecordBatch.from_arrays([typed(c, out[c]) for c in kinds], list(kinds))
 
     return docs.select(docs[key].alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(run, schema)
 
