@@ -104,6 +104,14 @@ def codes(values: pa.Array | np.ndarray) -> tuple[np.ndarray, int]:
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

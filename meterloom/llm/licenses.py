@@ -46,7 +46,7 @@ NOTICES = (
 )
 
 # A diagonal needs this share of a template's pairs to be looked at, a merged span this share to count.
-DIAGONAL_SHARE = 0.25
+DIAGONAL_SHARE = 0.1
 SPAN_SHARE = 0.75
 # Words by which neighbouring diagonals may differ.
 NEAR = 3

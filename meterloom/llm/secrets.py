@@ -17,6 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 _NAMES = ("password", "passwd", "secret", "token", "api_?key")
 
 
@@ -108,15 +110,17 @@ def _entropy_span(found: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(found["match"])), start, slide)
 
 
-def secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one more column ``_spans``: array of ``(start, kind, end)``, kind as a place in ``KINDS``, in that order.
+def secret_spans(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """``docs`` with one more column ``name``: array of ``(start, kind, end)``, kind as a place in ``KINDS``, in that order.
 
-    Null and empty texts have none. A column of ``docs`` named ``_spans`` is replaced.
+    Null and empty texts have none.
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    hits = {f"_hits{i}": F.regexp_extract_all(whole, F.lit(p), F.lit(0)) for i, p in enumerate((ASSIGN, ACCESS, HEX, CANDIDATE))}
+    patterns = (ASSIGN, ACCESS, HEX, CANDIDATE)
+    names = [free_name(docs, f"{name}_hits{i}") for i in range(len(patterns))]
+    hits = {n: F.regexp_extract_all(whole, F.lit(p), F.lit(0)) for n, p in zip(names, patterns)}
     rows = docs.withColumns(hits)
-    found = [_located(whole, p, F.col(f"_hits{i}")) for i, p in enumerate((ASSIGN, ACCESS, HEX, CANDIDATE))]
+    found = [_located(whole, p, F.col(n)) for n, p in zip(names, patterns)]
     value = lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= MIN_VALUE
     plain = [F.filter(found[0], value), found[1], found[2]]
 
@@ -134,7 +138,7 @@ def secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
             ),
         )
     )
-    return rows.withColumn("_spans", F.array_sort(F.concat(*spans))).drop(*hits)
+    return rows.withColumn(name, F.array_sort(F.concat(*spans))).drop(*hits)
 
 
 def _joined(spans: Column) -> Column:
@@ -151,7 +155,7 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Null and empty texts have none (counts 0, empty strings). Repeated rows repeat; an empty
     table gives an empty result; other columns play no part.
     """
-    rows = secret_spans(docs.select(docs[key].alias("doc_id"), docs[text].alias("text")))
+    rows = secret_spans(docs.select(docs[key].alias("doc_id"), docs[text].alias("text")), "_spans")
     base = F.filter("_spans", lambda s: s["kind"] < 3)
     count = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long")
     return rows.select(
@@ -167,7 +171,8 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
 
     Overlapping spans become one mark. Null texts stay null.
     """
-    rows = secret_spans(docs, text)
+    name = free_name(docs, "_spans")
+    rows = secret_spans(docs, name, text)
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
 
     def merge(a: Column, s: Column) -> Column:
@@ -177,19 +182,19 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
         joins = (F.size(a) > 0) & (s["start"] <= F.get(a, F.size(a) - 1)["end"])
         return F.when(joins, F.array_append(F.slice(a, 1, F.size(a) - 1), longer)).otherwise(F.array_append(a, own))
 
-    merged = F.aggregate("_spans", none, merge)
-    rows = rows.withColumn("_spans", F.when(F.size("_spans") > 0, merged))
-    at = lambda i, part, other: F.when((i >= 0) & (i < F.size("_spans")), F.get("_spans", i)[part]).otherwise(other)
+    merged = F.aggregate(name, none, merge)
+    rows = rows.withColumn(name, F.when(F.size(name) > 0, merged))
+    at = lambda i, part, other: F.when((i >= 0) & (i < F.size(name)), F.get(name, i)[part]).otherwise(other)
     between = F.transform(
-        F.sequence(F.lit(0), F.size("_spans")),
+        F.sequence(F.lit(0), F.size(name)),
         lambda i: F.substr(
             F.col(text),
             at(i - 1, "end", F.lit(0)) + 1,
             at(i, "start", F.length(F.col(text))) - at(i - 1, "end", F.lit(0)),
         ),
     )
-    marked = F.when(F.col("_spans").isNotNull(), F.array_join(between, MARK)).otherwise(F.col(text))
-    rows = rows.withColumn(text, marked.cast(docs.schema[text].dataType)).drop("_spans")
+    marked = F.when(F.col(name).isNotNull(), F.array_join(between, MARK)).otherwise(F.col(text))
+    rows = rows.withColumn(text, marked.cast(docs.schema[text].dataType)).drop(name)
     if length in docs.columns:
         rows = rows.withColumn(length, F.length(F.col(text)).cast(docs.schema[length].dataType))
     return rows.select(*docs.columns)
