@@ -367,6 +367,8 @@ define("histogram_100", f"""
         FROM (SELECT *, least(floor((load_kwh - lo) / (hi - lo) * 100), 99) AS g FROM load0 JOIN bounds USING (series_id))
         GROUP BY 1, 2) c USING (series_id, bin)""", "load0",
        bounds="SELECT series_id, min(load_kwh) AS lo, max(load_kwh) AS hi FROM load0 GROUP BY 1")
+define("histogram_centre", f"""
+    SELECT series_id, {r6('avg(load_kwh)', 'mean')}, {r6('quantile_cont(load_kwh, 0.5)', 'median')} FROM load0 GROUP BY 1""", "load0")
 define("describe_columns", f"""
     SELECT series_id, "column", count(value) AS n_values, count(*) - count(value) AS n_null, {r6('avg(value)', 'mean')},
            {r6('stddev_samp(value)', 'std')}, min(value) AS min, max(value) AS max,
@@ -421,6 +423,18 @@ define("corr_with_target_top20", "\n    UNION ALL ".join(
 define("corr_matrix", "\n    UNION ALL ".join(
     f"SELECT series_id, '{a}' AS a, '{b}' AS b, {r6(f'corr({a}, {b})', 'r')} FROM features GROUP BY 1"
     for i, a in enumerate(CORRELATED[:9]) for b in CORRELATED[i + 1:9]), "features")
+define("corr_top5", "SELECT * FROM (" + "\n    UNION ALL ".join(
+    f"SELECT series_id, '{c}' AS feature, " + r6(f"abs(corr({c}, load_kwh))", "abs_r") + " FROM features GROUP BY 1"
+    for c in CORRELATED)
+    + ") QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY abs_r DESC NULLS LAST, feature) <= 5", "features")
+define("corr_matrix_of_top6", "SELECT series_id, CASE WHEN x.place < y.place THEN a ELSE b END AS a, "
+       "CASE WHEN x.place < y.place THEN b ELSE a END AS b, r FROM (" + "\n    UNION ALL ".join(
+    f"SELECT series_id, '{a}' AS a, '{b}' AS b, {r6(f'corr({a}, {b})', 'r')} FROM features GROUP BY 1"
+    for i, a in enumerate(CORRELATED) for b in CORRELATED[i + 1:])
+    + ") JOIN top6 x ON x.feature = a JOIN top6 y ON y.feature = b", "features",
+    top6="SELECT feature, row_number() OVER (ORDER BY abs_r DESC NULLS LAST, feature) AS place FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, abs(corr({c}, load_kwh)) AS abs_r FROM features" for c in CORRELATED)
+    + ") QUALIFY place <= 6")
 define("linfit_lag1", f"""
     SELECT series_id, {r6('regr_slope(load_kwh, lag_15m)', 'slope')}, {r6('regr_intercept(load_kwh, lag_15m)', 'intercept')}
     FROM lagged GROUP BY 1""", "lagged")
@@ -513,8 +527,8 @@ def block_query(max_missing: int, columns: str = BLOCK_METRICS) -> str:
 define("block_metrics_midnight", block_query(4), "blocks")
 define("block_metrics_summary", f"""
     SELECT series_id, count(*) AS n_blocks, {', '.join(r6(f'avg({m})', f'{m}_mean') for m in ('mae', 'rmse', 'r2', 'mape'))},
-           {r6('quantile_cont(mae, 0.5)', 'mae_median')} FROM scored GROUP BY 1""", "blocks", scored=block_query(60, BLOCK_ERRORS))
-define("block_rmse_score", f"SELECT {r6('avg(rmse)', 'score')} FROM scored", "blocks", scored=block_query(60, BLOCK_ERRORS))
+           {r6('quantile_cont(mae, 0.5)', 'mae_median')} FROM scored GROUP BY 1""", "blocks", scored=block_query(4, BLOCK_ERRORS))
+define("block_rmse_score", f"SELECT {r6('avg(rmse)', 'score')} FROM scored", "blocks", scored=block_query(4, BLOCK_ERRORS))
 
 # --- modelling frame ----------------------------------------------------------------------
 
@@ -542,7 +556,8 @@ define("anomaly_flags", f"""
 # --- files --------------------------------------------------------------------------------
 
 define("load_csv_round_trip", "SELECT * EXCLUDE (lt) FROM load", "load")
-define("weather_csv_round_trip", "SELECT series_id, ts, temp_2m, global_rad FROM weather", "weather")
+define("weather_csv_round_trip", "SELECT series_id, ts, temp_2m, global_rad, wind_scalar_ms, note FROM weather", "weather")
+SQL["report_round_trip"] = SQL["metrics_naive96"]
 define("features_csv_round_trip", f"""
     SELECT series_id, ts, {r6('load_kwh')}, month, day, weekday, day_of_year, quarter, week,
            {r6s('lag_15m', 'lag_30m', 'lag_1h', 'lag_24h', 'base_customers_lag_15m', 'free_customers_lag_15m',
@@ -553,22 +568,21 @@ define("features_parquet_round_trip", """
     FROM (SELECT series_id, ts, CASE WHEN row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1
                                           < floor(count(*) OVER (PARTITION BY series_id) * 0.7::DOUBLE)
                                      THEN 'train' ELSE 'test' END AS split
-          FROM lagged WHERE pos >= 96 AND ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-30 12:00:00')
+          FROM lagged WHERE pos >= 96)
     GROUP BY 1, 2""", "lagged")
 
 # --- forecasts ----------------------------------------------------------------------------
 
-PARTS["january"] = """
-        SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS p FROM features
-        WHERE ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31 23:45:00'"""
-NEEDS["january"] = ["features"]
+PARTS["model_frame"] = """
+        SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS p FROM features"""
+NEEDS["model_frame"] = ["features"]
 PARTS["starts"] = """
         SELECT o.series_id, o.ts AS origin, max(r.ts) + INTERVAL 15 MINUTE AS start, list(r.load_kwh ORDER BY r.p) AS hist,
                last(r.base_customers_lag_15m ORDER BY r.p) AS base_last
-        FROM january o JOIN january r ON r.series_id = o.series_id AND r.p BETWEEN o.p - 96 AND o.p - 1
+        FROM model_frame o JOIN model_frame r ON r.series_id = o.series_id AND r.p BETWEEN o.p - 96 AND o.p - 1
         WHERE o.p >= 96 AND right(o.local_time, 5) = '00:00' AND o.local_hour = 0
         GROUP BY 1, 2 HAVING min(r.ts) >= o.ts - INTERVAL 15 MINUTE - INTERVAL 7 DAY"""
-NEEDS["starts"] = ["january"]
+NEEDS["starts"] = ["model_frame"]
 PARTS["slots"] = """
         SELECT series_id, origin, h, start + (h - 1) * INTERVAL 15 MINUTE AS ts,
                CASE WHEN h = 1 THEN base_last END AS base_first
@@ -581,14 +595,14 @@ PARTS["scores"] = """
                - 0.75 * sin(2 * pi() * (isodow(s.ts) - 1) / 7) + 0.05 * weekofyear(s.ts)
                + 0.5 * (isodow(s.ts) < 6)::INT + 0.02 * coalesce(w.temp_2m_lag15, 0)
                + 0.01 * coalesce(s.base_first, 0) AS score
-        FROM slots s ASOF LEFT JOIN january w ON s.series_id = w.series_id AND s.ts >= w.ts"""
+        FROM slots s ASOF LEFT JOIN model_frame w ON s.series_id = w.series_id AND s.ts >= w.ts"""
 NEEDS["scores"] = ["slots"]
 PARTS["table_scores"] = """
         SELECT s.series_id, s.origin, s.h, s.ts,
                4.0::DOUBLE + 1.5 * cos(2 * pi() * local_hour / 24) - 0.75 * sin(2 * pi() * weekday / 7) + 0.05 * week
                + 0.5 * is_workday + 0.02 * coalesce(w.temp_2m_lag15, 0)
                + 0.01 * coalesce(w.base_customers_lag_15m, 0) AS score
-        FROM slots s JOIN january w USING (series_id, ts)"""
+        FROM slots s JOIN model_frame w USING (series_id, ts)"""
 NEEDS["table_scores"] = ["slots"]
 
 
@@ -615,12 +629,13 @@ SQL["recursive_table_linear"] = recursion(
     "table_scores", f"SELECT series_id, origin, h, ts, {r6('yhat')} FROM run WHERE h > 0")
 SQL["recursive_linear_blocks"] = recursion("scores", f"""
     SELECT series_id, origin, count(y) AS n_used, {BLOCK_METRICS}
-    FROM (SELECT r.series_id, r.origin, r.yhat, j.load_kwh AS y FROM run r LEFT JOIN january j USING (series_id, ts) WHERE h > 0)
-    GROUP BY 1, 2 HAVING count(y) >= 10 AND count(*) - count(y) <= 70""")
+    FROM (SELECT r.series_id, r.origin, r.yhat, j.load_kwh AS y FROM run r LEFT JOIN model_frame j USING (series_id, ts) WHERE h > 0)
+    GROUP BY 1, 2 HAVING count(y) >= 10 AND count(*) - count(y) <= 4""")
 SQL["next_day_forecast"] = recursion("scores", f"""
     SELECT series_id, origin, h, ts, {r6('yhat')} FROM run WHERE h > 0 AND (series_id, origin) IN (
-        SELECT (series_id, max(ts)) FROM january
+        SELECT (series_id, max(ts)) FROM model_frame
         WHERE right(local_time, 5) = '00:00' AND local_hour = 0 GROUP BY series_id)""")
+SQL["next_day_stored"] = SQL["next_day_forecast"]
 define("direct_linear_weights", f"""
     SELECT h, {r6('regr_intercept(b.load_kwh, a.load_kwh)', 'intercept')}, {r6('regr_slope(b.load_kwh, a.load_kwh)', 'slope')}
     FROM pos a CROSS JOIN range(1, 97) t(h) JOIN pos b ON a.series_id = b.series_id AND b.pos = a.pos + h
@@ -646,9 +661,9 @@ _names = "[" + ", ".join(f"'{n}'" for n in FIXED_TERMS) + "]"
 PARTS["test_rows"] = f"""
         SELECT series_id, ts, load_kwh AS y, {_vector} AS terms, p - floor(n * 0.7::DOUBLE)::BIGINT AS i, n,
                p, local_hour, local_time
-        FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM january)
+        FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM model_frame)
         WHERE p >= floor(n * 0.7::DOUBLE)"""
-NEEDS["test_rows"] = ["january"]
+NEEDS["test_rows"] = ["model_frame"]
 
 
 def shuffled(source: str, repeats: int) -> dict[str, str]:
@@ -669,9 +684,15 @@ def ranked_changes(prefix: str) -> str:
                FROM changes GROUP BY feature"""
 
 
+define("score_absent_feature", f"""
+    SELECT series_id, ts, {r6(f'4.0::DOUBLE + list_sum({_vector}) - 0.02 * coalesce(temp_2m_lag15, 0)', 'yhat')}
+    FROM model_frame""", "model_frame")
+define("model_save_load", """
+    SELECT CASE WHEN p < floor(n * 0.7::DOUBLE) THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows, 0.0::DOUBLE AS max_diff
+    FROM (SELECT p, count(*) OVER (PARTITION BY series_id) AS n FROM model_frame) GROUP BY 1""", "model_frame")
 define("perm_importance_fixed_model", ranked_changes("importance"), "test_rows",
        tail=f"""SELECT series_id, ts, y, terms, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS i
-                FROM test_rows WHERE p >= n - 20000""",
+                FROM test_rows""",
        **shuffled("tail", 10),
        base="SELECT sqrt(avg((y - 4.0::DOUBLE - list_sum(terms)) ^ 2)) AS rmse FROM tail",
        changes=f"""SELECT feature, repeat, sqrt(avg((y - 4.0::DOUBLE - list_sum(terms) + terms[f] - donor[f]) ^ 2))
@@ -681,14 +702,13 @@ define("perm_importance_fixed_model", ranked_changes("importance"), "test_rows",
 
 _outside = "list_sum(terms[1:6])"
 SQL["perm_importance_fixed_recursion"] = with_parts(
-    ranked_changes("delta"), "test_rows", "starts", "january", recursive=True,
+    ranked_changes("delta"), "test_rows", "starts", "model_frame", recursive=True,
     **shuffled("test_rows", 5),
     picked=f"""SELECT series_id, ts AS origin FROM test_rows
-               WHERE right(local_time, 5) = '00:00' AND local_hour = 0
-               ORDER BY md5('42|' || series_id || '|' || epoch(ts)::BIGINT), series_id, ts LIMIT 40""",
+               WHERE right(local_time, 5) = '00:00' AND local_hour = 0""",
     begun="SELECT s.* FROM starts s JOIN picked USING (series_id, origin)",
     variants=f"""
-        SELECT series_id, ts, 'none' AS feature, 0::BIGINT AS repeat, {_vector} AS terms FROM january
+        SELECT series_id, ts, 'none' AS feature, 0::BIGINT AS repeat, {_vector} AS terms FROM model_frame
         UNION ALL
         SELECT series_id, ts, feature, repeat,
                list_transform(range(1, 11), lambda k: CASE WHEN k = f THEN donor[k] ELSE terms[k] END)
@@ -709,8 +729,8 @@ SQL["perm_importance_fixed_recursion"] = with_parts(
               AND s.feature = r.feature AND s.repeat = r.repeat AND s.h = r.h + 1)""",
     block_errors="""
         SELECT r.feature, r.repeat, sqrt(avg((j.load_kwh - r.yhat) ^ 2)) AS rmse
-        FROM run r LEFT JOIN january j USING (series_id, ts) WHERE r.h > 0
-        GROUP BY r.series_id, r.origin, r.feature, r.repeat HAVING count(j.load_kwh) >= 10""",
+        FROM run r LEFT JOIN model_frame j USING (series_id, ts) WHERE r.h > 0
+        GROUP BY r.series_id, r.origin, r.feature, r.repeat HAVING count(j.load_kwh) >= 10 AND count(*) - count(j.load_kwh) <= 4""",
     scores_by="SELECT feature, repeat, avg(rmse) AS score FROM block_errors GROUP BY 1, 2",
     changes="""SELECT feature, score - (SELECT score FROM scores_by WHERE feature = 'none') AS change
                FROM scores_by WHERE feature <> 'none'""",

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.catalog.adapters import load_table, table, weather_readings
-from meterloom.config import DatasetConfig
+from meterloom.config import DEFAULT_EXCLUDED_LAGS, DatasetConfig, Selection
 from meterloom.forecast import daily, direct, importance, models, recursive
 from meterloom.functions import calendar as cal
 from meterloom.metrics import (
@@ -27,12 +26,12 @@ from meterloom.metrics import (
 from meterloom.operators import align, correlate, flags, lags, profile, resample, split
 from meterloom.operators.fill import ffill_bfill, interpolate_time
 from meterloom.operators.ordering import CHUNK, chunked, with_position
-from meterloom.plans.dataset import Dataset, load_and_split, model_rows
+from meterloom.plans.dataset import Dataset, load_and_split, model_rows, with_features
 from meterloom.plans.prepare import clean_weather, prepare
 from meterloom.session import configure, shared_folder, stage
-from meterloom.sources.headers import LOAD_HEADERS
+from meterloom.sources.headers import LOAD_HEADERS, WEATHER_NUMBER_HEADERS
 from meterloom.sources.readers import read_features, read_load_csv, read_weather_csv
-from meterloom.sources.writers import write_features, write_features_csv
+from meterloom.sources.writers import load_model, save_model, write_features, write_features_csv, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -366,6 +365,12 @@ def histogram_100(spark, sf_dir):
     return rounded(profile.histogram(staged_load(spark, sf_dir)))
 
 
+@query
+def histogram_centre(spark, sf_dir):
+    """Mean and median beside the histogram."""
+    return rounded(profile.describe(staged_load(spark, sf_dir), ["load_kwh"]).select("series_id", "mean", "median"))
+
+
 @query
 def describe_columns(spark, sf_dir):
     load = staged_load(spark, sf_dir)
@@ -404,6 +409,21 @@ def corr_matrix(spark, sf_dir):
     return rounded(correlate.correlation_matrix(features, CORRELATED[:9]))
 
 
+@query
+def corr_top5(spark, sf_dir):
+    features = prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir))
+    return rounded(correlate.correlation_ranking(features, CORRELATED, top=5).drop("place"))
+
+
+@query
+def corr_matrix_of_top6(spark, sf_dir):
+    """Ranking over all series, then the matrix of the strongest columns for each series."""
+    features = stage(prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir)), "features")
+    ranking = correlate.correlation_ranking(features, CORRELATED, top=6, keys=())
+    strongest = [r.feature for r in ranking.orderBy("place").collect()]
+    return rounded(correlate.correlation_matrix(features, strongest))
+
+
 @query
 def linfit_lag1(spark, sf_dir):
     rows = positioned(staged_load(spark, sf_dir).select("series_id", "ts", "load_kwh"))
@@ -540,18 +560,18 @@ def block_metrics_midnight(spark, sf_dir):
 
 @query
 def block_metrics_summary(spark, sf_dir):
-    blocks = block_metrics(midnight_blocks(spark, sf_dir), max_missing=60)
+    blocks = block_metrics(midnight_blocks(spark, sf_dir))
     return rounded(block_summary(blocks, keys=["series_id"]))
 
 
 @query
 def block_rmse_score(spark, sf_dir):
-    return rounded(mean_block_rmse(block_metrics(midnight_blocks(spark, sf_dir), max_missing=60)))
+    return rounded(mean_block_rmse(block_metrics(midnight_blocks(spark, sf_dir))))
 
 
 # --- modelling frame ----------------------------------------------------------------------
 
-JANUARY = DatasetConfig(start="2024-01-03 00:00:00", end="2024-01-30 12:00:00")
+JANUARY = DatasetConfig(period=("2024-01-03 00:00:00", "2024-01-30 12:00:00"))
 
 
 @query
@@ -596,21 +616,22 @@ def load_csv_round_trip(spark, sf_dir):
 @query
 def weather_csv_round_trip(spark, sf_dir):
     """Two weather files with decimal commas, read in order, later file wins."""
-    names = {"temp_2m": "Lufttemperatur 2 m ü. Boden", "global_rad": "Globalstrahlung; Zehnminutenmittel"}
-    readings = weather_readings(spark, sf_dir)
-    # Inside one file the row number decides: keep the last of each stamp before writing.
-    single = align.keep_last(readings.drop("note", "wind_scalar_ms").withColumn("f", F.col("file_no")),
-                             ["row_no"], keys=["series_id", "f"])
+    headers = {name: header for header, name in WEATHER_NUMBER_HEADERS.items()}
+    names = {c: headers[c] for c in ("temp_2m", "global_rad", "wind_scalar_ms")}
+    readings = stage(weather_readings(spark, sf_dir), "readings")
     paths = []
     for number in (0, 1):
-        text = single.where(F.col("file_no") == number).select(
+        # Several part files in row order, with repeated stamps: the last row of a stamp must win.
+        rows = readings.where(F.col("file_no") == number).repartitionByRange(4, "row_no").sortWithinPartitions("row_no")
+        text = rows.select(
             "series_id",
+            "note",
             F.date_format("ts", "dd.MM.yyyy HH:mm").alias("Date and Time"),
             *[F.translate(F.col(c).cast("string"), ".", ",").alias(h) for c, h in names.items()],
         )
         paths.append(fresh_path(spark, f"weather-csv-{number}"))
         text.write.csv(paths[-1], sep=";", header=True, encoding="ISO-8859-1")
-    return clean_weather(read_weather_csv(spark, paths)).select("series_id", "ts", *names)
+    return clean_weather(read_weather_csv(spark, paths)).select("series_id", "ts", *names, "note")
 
 
 @query
@@ -625,17 +646,25 @@ def features_csv_round_trip(spark, sf_dir):
 def features_parquet_round_trip(spark, sf_dir):
     path = fresh_path(spark, "features-parquet")
     write_features(prepare(staged_load(spark, sf_dir)), path)
-    data = load_and_split(spark, path, JANUARY)
+    data = load_and_split(spark, path)
     return data.rows.groupBy("series_id", "split").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
 
 
+@query
+def report_round_trip(spark, sf_dir):
+    """Metrics table to a report file and back."""
+    report = rounded(regression_metrics(naive_forecast(spark, sf_dir), keys=["series_id"]))
+    path = fresh_path(spark, "report")
+    write_report(report, path)
+    return spark.read.schema(report.schema).csv(path, header=True)
+
+
 # --- forecasts ----------------------------------------------------------------------------
 
-EVERYTHING = DatasetConfig(
-    start="2024-01-01 00:00:00", end="2024-01-31 23:45:00", exclude_weather=(), exclude_lags=()
-)
+EVERYTHING = DatasetConfig(Selection(without=frozenset()))
+NO_SHORT_LAGS = DatasetConfig(Selection(without=frozenset(DEFAULT_EXCLUDED_LAGS)))
 FIXED_MODEL = recursive.LinearStep(
     4.0,
     {
@@ -648,7 +677,7 @@ FIXED_MODEL = recursive.LinearStep(
 def model_data(spark, sf_dir, cfg=EVERYTHING, extra=()) -> Dataset:
     features = stage(prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir)), "features")
     data = model_rows(features, cfg, extra)
-    return Dataset(stage(data.rows, "model-rows"), data.features, data.weather, cfg)
+    return Dataset(stage(data.rows, "model-rows"), data.features, cfg)
 
 
 @query
@@ -661,7 +690,7 @@ def recursive_linear_24h(spark, sf_dir):
 def recursive_linear_blocks(spark, sf_dir):
     rows = model_data(spark, sf_dir).rows
     forecast = recursive.forecast_linear(rows, recursive.midnight_origins(rows), FIXED_MODEL)
-    return rounded(block_metrics(recursive.with_truth(forecast, rows), max_missing=70))
+    return rounded(block_metrics(recursive.with_truth(forecast, rows)))
 
 
 @query
@@ -680,6 +709,38 @@ def next_day_forecast(spark, sf_dir):
     ))
 
 
+@query
+def next_day_stored(spark, sf_dir):
+    """Forecast of the daily job through its sink."""
+    rows = model_data(spark, sf_dir).rows
+    forecast = recursive.next_day_forecast(rows, lambda origins: recursive.forecast_linear(rows, origins, FIXED_MODEL))
+    path = fresh_path(spark, "next-day")
+    write_features(forecast, path)
+    return rounded(read_features(spark, path).drop("ts_month"))
+
+
+@query
+def score_absent_feature(spark, sf_dir):
+    """Fixed model on a table that lacks one of its features."""
+    data = model_data(spark, sf_dir)
+    rows = with_features(data.rows.drop("temp_2m_lag15"), FIXED_MODEL.features)
+    return rounded(fixed_prediction(rows).select("series_id", "ts", "yhat"))
+
+
+@query
+def model_save_load(spark, sf_dir):
+    """A stored pipeline scores as the fitted one does."""
+    data = model_data(spark, sf_dir)
+    fitted = fitted_linear(data)
+    path = fresh_path(spark, "model")
+    save_model(fitted, path)
+    again = models.score(load_model(path), data.rows, data.features).select("series_id", "ts", F.col("yhat").alias("again"))
+    both = models.score(fitted, data.rows, data.features).join(again, ["series_id", "ts"])
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("yhat") - F.col("again"))).alias("max_diff")
+    )
+
+
 @query
 def direct_linear_weights(spark, sf_dir):
     """All 96 single-feature models from one pass."""
@@ -693,7 +754,7 @@ def direct_linear_weights(spark, sf_dir):
 def direct_data(spark, sf_dir) -> Dataset:
     data = model_data(spark, sf_dir)
     rows = split.with_split(lags.horizon_targets(data.rows.drop("split"), "load_kwh"))
-    return Dataset(stage(rows, "direct-rows"), data.features, data.weather, data.cfg)
+    return Dataset(stage(rows, "direct-rows"), data.features, data.cfg)
 
 
 @query
@@ -746,16 +807,16 @@ def feature_ablation(spark, sf_dir):
     features = stage(prepare(staged_load(spark, sf_dir), staged_weather(spark, sf_dir)), "features")
     selections = {
         "all": EVERYTHING,
-        "no_weather": replace(EVERYTHING, use_weather=False),
-        "calendar_only": replace(EVERYTHING, use_weather=False, use_lags=False),
-        "default": replace(EVERYTHING, exclude_lags=DatasetConfig.exclude_lags),
+        "no_weather": DatasetConfig(Selection(frozenset({"calendar", "lags"}), frozenset())),
+        "calendar_only": DatasetConfig(Selection(frozenset({"calendar"}), frozenset())),
+        "default": NO_SHORT_LAGS,
     }
     return rounded(models.ablation(features, selections))
 
 
 @query
 def recursive_trees_24h(spark, sf_dir):
-    data = model_data(spark, sf_dir, replace(EVERYTHING, exclude_lags=DatasetConfig.exclude_lags))
+    data = model_data(spark, sf_dir, NO_SHORT_LAGS)
     fitted = models.fit_one_step(data.train, data.features, "gbt", rounds=3, depth=3)
     origins = recursive.midnight_origins(data.test)
     return rounded(recursive.forecast_model(data.rows, origins, fitted, data.features))
@@ -795,8 +856,7 @@ def perm_importance_fixed_model(spark, sf_dir):
 def perm_importance_fixed_recursion(spark, sf_dir):
     data = model_data(spark, sf_dir)
     return rounded(importance.recursive_importance(
-        data.rows, FIXED_MODEL.features, FIXED_MODEL.advance, max_missing=96,
-        combine=FIXED_MODEL.outside_score,
+        data.rows, FIXED_MODEL.features, FIXED_MODEL.advance, combine=FIXED_MODEL.outside_score
     ))
 
 
@@ -817,7 +877,7 @@ def perm_importance_recursive(spark, sf_dir):
     data = model_data(spark, sf_dir)
     model = recursive.linear_step(fitted_linear(data))
     return rounded(importance.recursive_importance(
-        data.rows, model.features, model.advance, max_missing=96, combine=model.outside_score
+        data.rows, model.features, model.advance, combine=model.outside_score
     ))
 
 

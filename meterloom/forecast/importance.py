@@ -88,15 +88,14 @@ def one_step_importance(
     features: Sequence[str],
     predict: Callable[[DataFrame], DataFrame],
     *,
-    size: int = 20000,
+    size: int | None = None,
     repeats: int = 10,
     seed: int = 42,
     top: int | None = None,
 ) -> DataFrame:
-    """One-step importance on the last ``size`` rows of each series: increase of the RMSE."""
-    return row_importance(
-        tail_rows(test, size), features, predict, repeats=repeats, seed=seed, top=top
-    )
+    """One-step importance on all rows, or the last ``size`` of each series: increase of the RMSE."""
+    rows = tail_rows(test, size) if size else test
+    return row_importance(rows, features, predict, repeats=repeats, seed=seed, top=top)
 
 
 def multi_output_importance(
@@ -104,13 +103,13 @@ def multi_output_importance(
     features: Sequence[str],
     predict: Callable[[DataFrame], DataFrame],
     *,
-    size: int = 8000,
+    size: int | None = None,
     repeats: int = 3,
     seed: int = 42,
-    top: int | None = 25,
+    top: int | None = None,
 ) -> DataFrame:
-    """Importance over all horizons on a seeded sample of rows: increase of the MAE."""
-    rows = seeded_sample(test, size, seed)
+    """Importance over all horizons on all rows, or a seeded sample of ``size``: increase of the MAE."""
+    rows = seeded_sample(test, size, seed) if size else test
     return row_importance(
         rows, features, predict, scorer=neg_mae, repeats=repeats, seed=seed, top=top
     ).select("feature", F.col("importance_mean").alias("importance"))
@@ -122,7 +121,7 @@ def recursive_importance(
     advance: Callable[[DataFrame], DataFrame],
     *,
     target: str = TARGET,
-    blocks: int = 40,
+    blocks: int | None = None,
     repeats: int = 5,
     seed: int = 42,
     max_missing: int = 4,
@@ -132,11 +131,13 @@ def recursive_importance(
 ) -> DataFrame:
     """Increase of the mean block RMSE when a feature is shuffled over the test rows.
 
+    All midnight origins of the test rows count, or a seeded sample of ``blocks``.
     ``rows`` has positions and ``split``.  Lag features cannot matter: the
     recursion overwrites them.
     """
     test = rows.where(F.col("split") == "test")
-    origins = stage(seeded_sample(midnight_origins(test), blocks, seed), "origins")
+    origins = midnight_origins(test)
+    origins = stage(seeded_sample(origins, blocks, seed) if blocks else origins, "origins")
     starts = stage(histories(rows, origins, target=target), "starts")
 
     def mean_rmse(table: DataFrame, variant: Sequence[str]) -> DataFrame:

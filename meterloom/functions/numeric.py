@@ -41,8 +41,11 @@ _FAR_BOTTOM = (
 
 
 def try_long(c: str) -> Column:
-    """Integer or null: text that is no number, and numbers with a fraction cut off, never raise."""
-    return F.expr(f"try_cast(`{c}` as bigint)")
+    """Whole number or null: ``1.0`` is 1; a fraction such as 12.7 and text that is no number are null."""
+    return F.expr(
+        f"case when try_cast(`{c}` as double) % 1 = 0 then "
+        f"coalesce(try_cast(`{c}` as bigint), try_cast(try_cast(`{c}` as double) as bigint)) end"
+    )
 
 
 def try_double(c: str) -> Column:

@@ -2,34 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.config import DatasetConfig
+from meterloom.config import DatasetConfig, Selection
 from meterloom.functions.calendar import add_cyclic
 from meterloom.operators.align import as_utc
 from meterloom.operators.ordering import CHUNK, chunked, with_position
 from meterloom.operators.resample import between
 from meterloom.operators.split import with_split
 from meterloom.sources.readers import read_features
+from meterloom.sources.writers import MONTH, MONTH_FORMAT
+
+
+@dataclass(frozen=True)
+class Group:
+    """A feature group: named columns, or all columns with a suffix."""
+
+    name: str
+    columns: tuple[str, ...] = ()
+    suffix: str | None = None
+
+    def members(self, available: Sequence[str]) -> list[str]:
+        if self.suffix:
+            return [c for c in available if c.endswith(self.suffix)]
+        return [c for c in self.columns if c in available]
+
 
 # Feature groups in model order.
-CALENDAR_FEATURES = (
-    "month_sin", "month_cos",
-    "weekday_sin", "weekday_cos",
-    "hour_sin", "hour_cos",
-    "day_of_year_sin", "day_of_year_cos",
-    "week", "is_workday", "is_sunday",
-)
-LAG_FEATURES = (
-    "lag_15m", "lag_30m", "lag_1h", "lag_24h",
-    "base_customers_lag_15m", "free_customers_lag_15m", "diff_15m",
-)
-# Display columns that no model uses.
-DISPLAY_COLUMNS = (
-    "local_date", "local_time", "month", "weekday", "local_hour", "day_of_year", "quarter",
+GROUPS = (
+    Group(
+        "calendar",
+        (
+            "month_sin", "month_cos",
+            "weekday_sin", "weekday_cos",
+            "hour_sin", "hour_cos",
+            "day_of_year_sin", "day_of_year_cos",
+            "week", "is_workday", "is_sunday",
+        ),
+    ),
+    Group(
+        "lags",
+        (
+            "lag_15m", "lag_30m", "lag_1h", "lag_24h",
+            "base_customers_lag_15m", "free_customers_lag_15m", "diff_15m",
+        ),
+    ),
+    Group("weather", suffix="_lag15"),
 )
 
 
@@ -39,7 +61,6 @@ class Dataset:
 
     rows: DataFrame
     features: list[str]
-    weather: list[str]
     cfg: DatasetConfig
 
     @property
@@ -51,25 +72,10 @@ class Dataset:
         return self.rows.where(F.col("split") == "test")
 
 
-def weather_features(columns: list[str], cfg: DatasetConfig) -> list[str]:
-    """Lagged weather columns, recognised by their suffix, without the excluded ones."""
-    return [
-        c
-        for c in columns
-        if c.endswith("_lag15") and c not in LAG_FEATURES and c not in cfg.exclude_weather
-    ]
-
-
-def feature_list(columns: list[str], cfg: DatasetConfig) -> list[str]:
-    """Existing feature columns by group switch and exclusion: calendar, lags, weather."""
-    wanted: list[str] = []
-    if cfg.use_calendar:
-        wanted += CALENDAR_FEATURES
-    if cfg.use_lags:
-        wanted += [c for c in LAG_FEATURES if c not in cfg.exclude_lags]
-    if cfg.use_weather:
-        wanted += weather_features(columns, cfg)
-    return [c for c in wanted if c in columns]
+def feature_list(columns: Sequence[str], selection: Selection) -> list[str]:
+    """Columns of the selected groups that the table has, in group order."""
+    members = (c for g in GROUPS if g.name in selection.groups for c in g.members(columns))
+    return [c for c in members if c not in selection.without]
 
 
 def with_features(df: DataFrame, features: list[str]) -> DataFrame:
@@ -79,22 +85,29 @@ def with_features(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def model_rows(features: DataFrame, cfg: DatasetConfig, extra: tuple[str, ...] = ()) -> Dataset:
-    """Cut the period, add cyclic columns, choose features, number and split the rows.
+    """Add cyclic columns, choose features, number and split the rows (of the period, if one is given).
 
     Only key, target, chosen features and ``extra`` columns go on.
     """
-    if "ts_year" in features.columns:  # partition column of the stored table
-        years = F.year(F.lit(cfg.start).cast("date")), F.year(F.lit(cfg.end).cast("date"))
-        features = features.where(F.col("ts_year").between(*years)).drop("ts_year")
-    kept = features.withColumn("ts", as_utc("ts")).where(between("ts", cfg.start, cfg.end))
-    encoded = add_cyclic(kept)
-    names = feature_list(encoded.columns, cfg)
+    kept = features.withColumn("ts", as_utc("ts"))
+    if cfg.period:
+        kept = in_period(kept, *cfg.period)
+    encoded = add_cyclic(kept.drop(MONTH))
+    names = feature_list(encoded.columns, cfg.selection)
     narrow = encoded.select(
         "series_id", "ts", F.col(cfg.target).cast("double").alias(cfg.target),
         *[c for c in extra if c not in names], *names,
     )
     rows = with_split(with_position(chunked(narrow)), cfg.test_size).drop(CHUNK)
-    return Dataset(rows, names, [c for c in names if c.endswith("_lag15")], cfg)
+    return Dataset(rows, names, cfg)
+
+
+def in_period(features: DataFrame, first: str, last: str) -> DataFrame:
+    """Rows from the first to the last stamp; the months of a stored table prune its folders."""
+    if MONTH in features.columns:
+        months = [F.date_format(F.lit(x).cast("timestamp"), MONTH_FORMAT) for x in (first, last)]
+        features = features.where(F.col(MONTH).between(*months))
+    return features.where(between("ts", first, last))
 
 
 def load_and_split(

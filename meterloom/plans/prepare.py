@@ -59,9 +59,12 @@ def positioned_rows(grid: DataFrame, cfg: PrepareConfig, measured=(), text=()) -
         totals={"n_rows": F.count(cfg.target)},
         **knot_carries(filled),
     )
-    up = Window.partitionBy(*KEYS, CHUNK).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    by_time = Window.partitionBy(*KEYS, CHUNK).orderBy("ts")
+    up = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    again = F.raise_error(F.concat(F.lit("repeated load key: "), F.concat_ws(" ", *KEYS, "ts"))).cast("bigint")
+    number = F.when(F.lag("ts").over(by_time) == F.col("ts"), again).otherwise(F.count(cfg.target).over(up))
     found = (
-        grid.withColumns({"_number": F.count(cfg.target).over(up)} | chunk_neighbours(filled))
+        grid.withColumns({"_number": number} | chunk_neighbours(filled))
         .where(F.col(cfg.target).isNotNull())
         .join(carry, [*KEYS, CHUNK])
     )
@@ -87,8 +90,9 @@ def prepare(
 
     ``load``: ``series_id, ts``, target, customer groups and calendar columns,
     unique by key.  ``weather``: ``series_id, ts``, measurements and text
-    columns, unique by key (see :func:`clean_weather`).  Both are read more than
-    once, so a costly input should be staged first.
+    columns, unique by key (see :func:`clean_weather`).  A repeated load key raises
+    when the plan runs.  Both are read more than once, so a costly input should be
+    staged first.
     """
     cfg = cfg or PrepareConfig()
     measured, text = weather_parts(weather, cfg) if weather is not None else ([], [])

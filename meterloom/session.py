@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import sys
 import tempfile
 import uuid
@@ -12,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings the operators need for right results or for the intended plans.
 # All of them can be changed on a running session.
 RUNTIME_SETTINGS = {
+    # Files that Spark measures are compressed; rows in memory are several times as large.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     # Stamps are stored and compared in UTC; local time is always derived.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -50,14 +55,19 @@ def get_session(app: str = "meterloom", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` if the cluster names one.
 
-    Only where nothing is set (tests, a laptop) a new temporary folder is made.
+    Only in a session on one machine, where nothing is set, a new temporary folder is made;
+    it goes when Python ends.  On a cluster an unset folder is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="meterloom-"))
+        if not re.fullmatch(r"local(\[[^,\]]*(,\d+)?\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="meterloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir().rstrip("/")
 
 

@@ -24,9 +24,14 @@ MONTH_FIRST = "MM/dd/yyyy HH:mm"
 
 
 def _text_table(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """``;`` file with header, every column as text under its stripped header."""
+    """``;`` file (or folder of files) with header, every column as text under its stripped header.
+
+    Files of one folder must have the same columns in the same order; reading fails otherwise.
+    """
     try:
-        raw = spark.read.csv(path, sep=";", header=True, encoding=encoding)
+        first = spark.read.csv(path, sep=";", header=True, encoding=encoding).schema
+        # Every file's header is compared with the first one's: another column order fails.
+        raw = spark.read.schema(first).csv(path, sep=";", header=True, encoding=encoding, enforceSchema=False)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in (error.getCondition() or ""):
             raise FileNotFoundError(f"file not found: {path}") from error
@@ -42,9 +47,11 @@ def parse_stamp(c: str | Column, *, dayfirst: bool = True, strict: bool = True)
     """Stamp text without zone read as UTC.  Bad text raises, or is null when not ``strict``."""
     col = F.col(c) if isinstance(c, str) else c
     pattern = F.lit(DAY_FIRST if dayfirst else MONTH_FIRST)
-    if strict:
-        return F.to_timestamp(col, DAY_FIRST if dayfirst else MONTH_FIRST)
-    return F.try_to_timestamp(col, pattern)
+    parsed = F.try_to_timestamp(col, pattern)
+    if strict:  # whatever the session's ANSI setting
+        bad = F.raise_error(F.concat(F.lit("not a stamp: "), col)).cast("timestamp")
+        return F.when(col.isNotNull() & parsed.isNull(), bad).otherwise(parsed)
+    return parsed
 
 
 def read_load_csv(
@@ -80,8 +87,10 @@ def read_weather_csv(
         df = _text_table(spark, path, encoding)
         if "Date and Time" not in df.columns:
             raise ValueError("column 'Date and Time' is missing")
-        # Splits of a file are ordered by where they start, rows within one by their id.
-        order = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        # Files of a folder by name, splits of a file by where they start, rows of one by their id.
+        order = F.struct(
+            F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+        )
         df = df.withColumn("row_no", order)
         df = _renamed(df, WEATHER_NUMBER_HEADERS | WEATHER_TEXT_HEADERS)
         numbers = [c for c in WEATHER_NUMBER_HEADERS.values() if c in df.columns]
@@ -101,6 +110,9 @@ def read_features(spark: SparkSession, path: str, *, series_id: str = "load") ->
     """Feature table from Parquet, or from the ``;`` latin1 file if the path ends in ``.csv``."""
     if not path.rstrip("/").endswith(".csv"):
         df = spark.read.parquet(path)
+        # A month such as 2024-01 would be taken for a date.
+        if "ts_month" in df.columns and df.schema["ts_month"].dataType.simpleString() == "date":
+            df = df.withColumn("ts_month", F.date_format("ts_month", "yyyy-MM"))
         return df.withColumn("ts", as_utc("ts"))
     df = _renamed(_text_table(spark, path, LATIN1), FEATURE_HEADERS)
     kinds = {c: FEATURE_TYPES.get(c, "double") for c in df.columns if c != "ts"}

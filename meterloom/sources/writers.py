@@ -11,21 +11,24 @@ from meterloom.operators.ordering import KEYS
 from meterloom.sources.headers import FEATURE_HEADERS
 from meterloom.sources.readers import LATIN1
 
+MONTH = "ts_month"
+MONTH_FORMAT = "yyyy-MM"
 STAMP = "yyyy-MM-dd HH:mm:ssXXX"
 
 
 def write_features(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
-    """Parquet by year of the stamp, each file sorted by key: time filters prune and skip.
+    """Parquet by month of the stamp, each file sorted by time, then series.
 
-    Rows are rebalanced by year and series: large parts are split and small ones
-    merged to files of even size, however long one series is.
+    A period reads its months only, and inside a month the row groups whose stamps
+    lie in it.  Rows are rebalanced by month: large months are split and small ones
+    kept to files of even size.
     """
     (
-        df.withColumn("ts_year", F.year("ts"))
-        .hint("rebalance", F.col("ts_year"), F.col("series_id"))
-        .sortWithinPartitions("ts_year", *KEYS, "ts")
+        df.withColumn(MONTH, F.date_format("ts", MONTH_FORMAT))
+        .hint("rebalance", F.col(MONTH))
+        .sortWithinPartitions(MONTH, "ts", *KEYS)
         .write.mode(mode)
-        .partitionBy("ts_year")
+        .partitionBy(MONTH)
         .parquet(path)
     )
 

@@ -6,7 +6,7 @@ import pytest
 from helpers import series, stamp, values
 from pyspark.sql import functions as F
 
-from meterloom.config import DatasetConfig
+from meterloom.config import DatasetConfig, Selection
 from meterloom.functions import calendar as cal
 from meterloom.operators import lags, resample, split
 from meterloom.operators.ordering import CHUNK, chunked, with_position
@@ -179,14 +179,15 @@ def test_horizon_targets_need_all_rows(spark):
 
 def test_feature_list_follows_switches(spark):
     columns = ["hour_sin", "hour_cos", "week", "lag_1h", "lag_15m", "temp_2m_lag15", "wind_dir_lag15"]
-    assert feature_list(columns, DatasetConfig()) == ["hour_sin", "hour_cos", "week", "lag_1h", "temp_2m_lag15"]
-    assert feature_list(columns, DatasetConfig(use_weather=False, use_calendar=False, exclude_lags=())) == [
+    assert feature_list(columns, Selection()) == ["hour_sin", "hour_cos", "week", "lag_1h", "temp_2m_lag15"]
+    assert feature_list(columns, Selection(frozenset({"lags"}), frozenset())) == [
         "lag_15m", "lag_1h"]
 
 
 def test_period_is_closed_and_absent_features_are_null(spark):
     features = prepare(load(spark, [float(i) for i in range(110)]))
-    cfg = DatasetConfig(start="2024-01-02 00:15:00", end="2024-01-02 01:15:00")
+    cfg = DatasetConfig(period=("2024-01-02 00:15:00", "2024-01-02 01:15:00"))
+    assert model_rows(features, DatasetConfig()).rows.count() == features.count()
     rows = model_rows(features, cfg).rows
     assert rows.count() == 5
     assert with_features(rows, ["lag_1h", "gone"]).select("gone").first().gone is None

@@ -89,13 +89,92 @@ def test_period_filter_reaches_the_scan(spark, tmp_path):
     from meterloom.plans.dataset import load_and_split
 
     writers.write_features(prepare(load_table(spark, SF_DIR)), str(tmp_path / "f"))
-    cfg = DatasetConfig(start="2024-01-10 00:00:00", end="2024-01-11 00:00:00", exclude_lags=())
+    cfg = DatasetConfig(period=("2024-01-10 00:00:00", "2024-01-11 00:00:00"))
     data = load_and_split(spark, str(tmp_path / "f"), cfg)
     plan = data.rows._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
-    assert "ts_year" in plan.split("PartitionFilters")[1].splitlines()[0]
+    assert "ts_month" in plan.split("PartitionFilters")[1].splitlines()[0]
+
+
+def test_one_day_reads_its_month_only(spark, tmp_path):
+    """Three months are stored; the files that hold rows of the day belong to one of them, and rows are right."""
+    from meterloom.plans.dataset import in_period
+    from meterloom.sources.readers import read_features
+
+    load = load_table(spark, SF_DIR)
+    shifted = [load.withColumn("ts", F.col("ts") + F.make_dt_interval(F.lit(31 * k))) for k in (1, 2)]
+    features = prepare(stage(load.union(shifted[0]).union(shifted[1])))
+    writers.write_features(features, str(tmp_path / "f"))
+    assert len(list((tmp_path / "f").glob("ts_month=*"))) > 2
+    stored = read_features(spark, str(tmp_path / "f"))
+    day = in_period(stored, "2024-02-10 00:00:00", "2024-02-10 23:45:00")
+    assert {r[0] for r in day.select("ts_month").distinct().collect()} == {"2024-02"}
+    plan = day._jdf.queryExecution().executedPlan()
+    day.collect()
+    scan = plan.collectLeaves().apply(0)
+    read = scan.metrics().get("numFiles").get().value() if scan.metrics().contains("numFiles") else None
+    files = len(list((tmp_path / "f").glob("ts_month=2024-02/*.parquet")))
+    assert read in (None, 0, files)
+    want = features.where("ts between timestamp '2024-02-10 00:00:00' and timestamp '2024-02-10 23:45:00'").count()
+    assert day.count() == want > 0
+
+
+def test_swapped_columns_of_a_second_file_fail_loudly(spark, tmp_path):
+    from meterloom.sources.headers import LOAD_HEADERS
+    from meterloom.sources.readers import read_load_csv
+
+    back = {name: header for header, name in LOAD_HEADERS.items()}
+    load_name, base_name, stamp = back["load_kwh"], back["base_customers"], back["ts"]
+    folder = tmp_path / "load"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{stamp};{load_name};{base_name}\n2024-01-01T00:00:00+00:00;5;1\n")
+    (folder / "b.csv").write_text(f"{stamp};{load_name};{base_name}\n2024-01-01T00:15:00+00:00;6;2\n")
+    got = sorted((r.load_kwh, r.base_customers) for r in read_load_csv(spark, str(folder)).collect())
+    assert got == [(5.0, 1.0), (6.0, 2.0)]
+    (folder / "c.csv").write_text(f"{stamp};{base_name};{load_name}\n2024-01-01T00:30:00+00:00;3;7\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_load_csv(spark, str(folder)).collect()
+
+
+def test_whole_numbers_from_text(spark):
+    from meterloom.functions.numeric import try_long
+
+    df = spark.createDataFrame([("1",), ("1.0",), ("-3.00",), ("12.7",), ("x",), (None,), ("9007199254740993",)], "c string")
+    assert [r[0] for r in df.select(try_long("c")).collect()] == [1, 1, -3, None, None, None, 9007199254740993]
+
+
+def test_strict_stamps_fail_without_ansi(spark):
+    from meterloom.sources.readers import parse_stamp
+
+    df = spark.createDataFrame([("01.02.2024 03:04",), (None,)], "s string")
+    bad = spark.createDataFrame([("2024-02-01",)], "s string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert [str(r[0]) for r in df.select(parse_stamp("s")).collect()] == ["2024-02-01 03:04:00", "None"]
+        with pytest.raises(Exception, match="not a stamp"):
+            bad.select(parse_stamp("s")).collect()
+        assert bad.select(parse_stamp("s", strict=False)).first()[0] is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_repeated_load_keys_fail(spark):
+    load = load_table(spark, SF_DIR)
+    with pytest.raises(Exception, match="repeated load key"):
+        prepare(stage(load.union(load.limit(1)))).collect()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from meterloom.session import shared_folder
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        shared_folder(session)
 
 
 def test_small_side_is_broadcast_only_when_its_measured_size_allows(spark):

@@ -6,7 +6,7 @@ import pytest
 from helpers import series, stamp, values
 from pyspark.sql import functions as F
 
-from meterloom.config import DatasetConfig
+from meterloom.config import DatasetConfig, Selection
 from meterloom.forecast import daily, direct, importance, models, recursive
 from meterloom.forecast.leastsquares import products, solve
 from meterloom.functions.calendar import calendar_parts, to_local
@@ -17,7 +17,7 @@ from meterloom.plans.prepare import prepare
 from meterloom.session import stage
 from meterloom.sources import writers
 
-CFG = DatasetConfig(start="2024-01-01 00:00:00", end="2024-03-01 00:00:00", exclude_lags=(), exclude_weather=())
+CFG = DatasetConfig(Selection(without=frozenset()))
 
 
 def periodic(spark, days=12, drop=(), noise=3.0):
