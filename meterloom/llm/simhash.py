@@ -22,20 +22,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import map_texts
+from .common import free_name, map_texts
 from .components import connected_components
 
 BITS = 64
 RADIUS = 3
 SEED = 42
+# Bytes of text whose words are in memory at once.
+PIECE = 1 << 20
 _SPACE = re.compile(rb"[\x20\t-\r]")
 
 
-def _words(data: bytes, size: int = 1 << 20):
+def _words(data: bytes):
     """White-space separated words; a long text is cut at white space, never held as one list."""
     start = 0
     while start < len(data):
-        space = _SPACE.search(data, start + size)
+        space = _SPACE.search(data, start + PIECE)
         end = space.start() if space else len(data)
         yield from data[start:end].split()
         start = end
@@ -54,9 +56,11 @@ def _shingles(data: bytes, width: int):
 def fingerprint(text: str | None, width: int = 3) -> int:
     """64-bit SimHash of the word shingles of a text; 0 without words."""
     data = (text or "").encode().lower()  # bytes: only A-Z change
-    if len(data) <= 1 << 20:
+    if len(data) <= PIECE:
         words = data.split()
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(width)))) if len(words) >= width else iter([b" ".join(words)] if words else ())
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(width))))
+        if len(words) < width:
+            shingles = iter([b" ".join(words)] if words else ())
     else:
         shingles = _shingles(data, width)
     ones, n = np.zeros(BITS, np.int64), 0
@@ -82,26 +86,44 @@ def fingerprints(docs: DataFrame, width: int = 3, key: str = "doc_id", text: str
     return map_texts(docs, prepare, "fp long, text_hash long", key, text)
 
 
-def _masks() -> tuple[np.ndarray, np.ndarray]:
-    """Bits to flip: none or one, and for odd fingerprints also two of one half."""
-    near = [0] + [1 << i for i in range(BITS)]
-    halves = range(BITS // 2), range(BITS // 2, BITS)
-    far = [1 << i | 1 << j for half in halves for i, j in combinations(half, 2)]
-    return tuple(np.array(x, np.uint64).view(np.int64) for x in (near, near + far))
+def _flips() -> dict[str, np.ndarray]:
+    """Bits to flip. ``low`` and ``top``: one bit of that half; ``low2`` and ``top2``: two."""
+    out = {}
+    for name, bits in (("low", range(BITS // 2)), ("top", range(BITS // 2, BITS))):
+        out[name] = [1 << i for i in bits]
+        out[name + "2"] = [1 << i | 1 << j for i, j in combinations(bits, 2)]
+    return {name: np.array(x, np.uint64).view(np.int64) for name, x in out.items()}
 
 
 def links(marks: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` that join all of the different fingerprints ``fp`` within the radius."""
-    near, wide = _masks()
+    """Links ``(a, b)`` that join all of the different fingerprints ``fp`` within the radius.
+
+    Words whose flipped bits lie in one half share the other half. So the shuffle key is a
+    half: a fingerprint is sent once by each of its halves, and once for each half with one
+    bit flipped (66 rows); the words that share the half are only made where they meet.
+    """
+    flip, none = _flips(), np.zeros(1, np.int64)
     tasks = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    flips = F.when(F.bit_count("fp") % 2 == 1, F.lit(wide)).otherwise(F.lit(near))
-    met = (
-        marks.repartition(tasks, "fp")
-        .select("fp", F.explode(flips).alias("flip"))
-        .select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("word"))
+    sent = F.lit(np.concatenate([none, flip["top"], none, flip["low"]]))
+    sides = len(flip["top"]) + 1
+    word = F.col("fp").bitwiseXOR(F.col("flip"))
+    by_top = F.shiftrightunsigned(word, BITS // 2)
+    by_low = word.bitwiseAND(F.lit((1 << BITS // 2) - 1)) + F.lit(1 << BITS // 2)
+    rows = marks.repartition(tasks, "fp").select("fp", F.posexplode(sent).alias("at", "flip"))
+    rows = rows.select("fp", "flip", F.when(F.col("at") < sides, by_top).otherwise(by_low).alias("half"))
+    rows = rows.repartition(tasks, "half")
+    odd, top = F.bit_count("fp") % 2 == 1, F.col("half") < 1 << BITS // 2
+    here = (
+        F.when(F.col("flip") != 0, F.array("flip"))
+        .when(top & odd, F.lit(np.concatenate([none, flip["low"], flip["low2"]])))
+        .when(top, F.lit(np.concatenate([none, flip["low"]])))
+        .when(odd, F.lit(np.concatenate([none, flip["top"], flip["top2"]])))
+        .otherwise(F.lit(np.concatenate([none, flip["top"]])))
     )
+    met = rows.select("fp", "half", F.explode(here).alias("flip"))
+    met = met.select("half", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("word"))
     within_one = F.bit_count(F.col("fp").bitwiseXOR(F.col("word"))) <= 1
-    hub = F.min(F.when(within_one, F.col("fp"))).over(Window.partitionBy("word"))
+    hub = F.min(F.when(within_one, F.col("fp"))).over(Window.partitionBy("word", "half"))
     stars = met.withColumn("hub", hub).where("hub != fp").select("fp", "hub").distinct()
     return stars.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS).toDF("a", "b")
 
@@ -141,6 +163,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     best = rows.groupBy("fp").agg(F.min(order).alias("best")).join(_roots(rows), "fp")
     best = best.groupBy("root").agg(F.min("best").alias("best"))
     best = stage(best.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_hash")), "kept")
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    same = hashed[key].eqNullSafe(best["_id"]) & (hashed["_text_hash"] == best["_hash"])
-    return hashed.join(best, same, "left_semi").dropDuplicates([key, "_text_hash"]).drop("_text_hash")
+    name = free_name(docs, "_text_hash")
+    hashed = docs.withColumn(name, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    same = hashed[key].eqNullSafe(best["_id"]) & (hashed[name] == best["_hash"])
+    return hashed.join(best, same, "left_semi").dropDuplicates([key, name]).drop(name)
