@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.operators.ordering import CHUNK, chunk_carry, salted_join
+from meterloom.session import stage
 
 EXPLODE_STEP = 65536
+# Half the width of a bracket, and the accuracy of its ends (errors up to 1 / ACCURACY), as shares of the rows.
+BRACKET = 0.001
+ACCURACY = 10_000
 
 
 def value_ranks(
@@ -21,14 +25,16 @@ def value_ranks(
     value: str,
     *,
     keys: Sequence[str] = (),
-    ranges: int = 128,
+    ranges: int | None = None,
     split_over: int = 50_000,
 ) -> DataFrame:
     """Per key and distinct value: ``n_equal`` rows have it, ``n_below`` are smaller, of ``n_values``.
 
-    Groups with more than ``split_over`` distinct values are cut into value
-    ranges.  Approximate quantiles only choose the cuts; the ranks are exact.
+    Groups are cut into value ranges of about ``split_over`` rows, as many as the
+    data need (or ``ranges``); groups with fewer distinct values stay whole.  Approximate
+    quantiles only choose the cuts; the ranks are exact.
     """
+    ranges = ranges or max(2, -(-df.select(value).count() // split_over))
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
@@ -39,7 +45,7 @@ def value_ranks(
         counts.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_distinct"),
-            F.percentile_approx(value, cuts, 10000).alias("_splits"),
+            F.percentile_approx(value, cuts, max(ACCURACY, 4 * ranges)).alias("_splits"),
         )
         .where(F.col("_distinct") > split_over)
         .drop("_distinct")
@@ -80,22 +86,47 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     split_over: int = 50_000,
 ) -> DataFrame:
-    """Linearly interpolated quantiles ``name -> probability`` per key."""
-    ranks = value_ranks(df, value, keys=keys, split_over=split_over)
+    """Linearly interpolated quantiles ``name -> probability`` per key.
+
+    Approximate quantiles on both sides of each probability bracket its exact rank.  One
+    aggregate counts what lies below each bracket; only the rows inside, well under a
+    hundredth of all, are shuffled and ranked.  A rank just outside is the nearest value
+    beyond the bracket, kept by the same aggregate.
+    """
+    known = df.where(F.col(value).isNotNull()).select(*keys, value)
+    wanted = list(quantiles.items())
+    sides = [x for _, p in wanted for x in (max(p - BRACKET, 0.0), min(p + BRACKET, 1.0))]
+    brackets = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_values"), F.percentile_approx(value, sides, ACCURACY).alias("_sides")
+    )
+    rows = salted_join(known, stage(brackets, "brackets"), keys, [value])
+    v = F.col(value)
+    low, high = (lambda i: F.col("_sides")[2 * i]), (lambda i: F.col("_sides")[2 * i + 1])
+    counted = rows.groupBy(*keys, "n_values").agg(
+        *[F.count(F.when(v < low(i), 1)).alias(f"_below_{i}") for i in range(len(wanted))],
+        *[F.max(F.when(v < low(i), v)).alias(f"_before_{i}") for i in range(len(wanted))],
+        *[F.min(F.when(v > high(i), v)).alias(f"_after_{i}") for i in range(len(wanted))],
+    )
+    which = F.filter(
+        F.array(*[F.when((v >= low(i)) & (v <= high(i)), F.lit(i)) for i in range(len(wanted))]), lambda x: x.isNotNull()
+    )
+    inside = rows.select(*keys, value, F.explode(which).alias("_q"))
+    ranks = value_ranks(inside, value, keys=[*keys, "_q"], split_over=split_over).withColumnRenamed("n_values", "_inside")
+    found = salted_join(ranks, counted, keys, [value])
+
     held = []
-    for name, p in quantiles.items():
-        place = (F.col("n_values") - 1) * F.lit(float(p))
+    for i, (name, p) in enumerate(wanted):
+        place = (F.col("n_values") - 1) * F.lit(float(p)) - F.col(f"_below_{i}")
         for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            inside = (rank >= F.col("n_below")) & (rank < F.col("n_below") + F.col("n_equal"))
-            held.append(F.max(F.when(inside, F.col(value))).alias(f"_{side}_{name}"))
-    found = ranks.groupBy(*keys, "n_values").agg(*held)
+            at = (rank >= F.col("n_below")) & (rank < F.col("n_below") + F.col("n_equal"))
+            got = F.when(at, v).when(rank < 0, F.col(f"_before_{i}")).when(rank >= F.col("_inside"), F.col(f"_after_{i}"))
+            held.append(F.max(F.when(F.col("_q") == i, got)).alias(f"_{side}_{name}"))
     results = []
-    for name, p in quantiles.items():
+    for name, p in wanted:
         place = (F.col("n_values") - 1) * F.lit(float(p))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        results.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return found.select(*keys, "n_values", *results)
-
+        first, last = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        results.append((first + (last - first) * (place - F.floor(place))).alias(name))
+    return found.groupBy(*keys, "n_values").agg(*held).select(*keys, "n_values", *results)
 
 def explode_ranks(ranks: DataFrame) -> DataFrame:
     """One row per original value with its 0-based ``rank``; a very frequent value is split first."""
