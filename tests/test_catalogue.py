@@ -1,5 +1,9 @@
 """Every catalogue query against its SQL on the smallest tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -31,3 +35,22 @@ def test_no_usable_block_is_an_error(spark):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_without_the_text_operators():
+    """With the subpackage taken out, everything else is still registered."""
+    code = """
+import importlib.abc, sys
+
+class Gone(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path=None, target=None):
+        if name in ("corpus_pipeline", "meterloom.llm"):
+            raise ModuleNotFoundError(name, name=name)
+
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+from meterloom.catalog.queries import QUERIES
+assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) <= set(QUERIES)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
