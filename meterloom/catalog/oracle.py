@@ -735,3 +735,10 @@ SQL["perm_importance_fixed_recursion"] = with_parts(
     changes="""SELECT feature, score - (SELECT score FROM scores_by WHERE feature = 'none') AS change
                FROM scores_by WHERE feature <> 'none'""",
 )
+
+# --- daily model ---------------------------------------------------------------------------
+
+# Columns: intercept, trend with 25 changes, 3 weekly and 10 yearly waves, and the holidays.
+SQL["daily_seasonal_gradient"] = """
+    SELECT series_id, unnest(range(0, 1 + 26 + 6 + 20 + 4)) AS "column", 0.0::DOUBLE AS gradient
+    FROM (SELECT DISTINCT o_orderpriority AS series_id FROM orders)"""

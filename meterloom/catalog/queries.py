@@ -895,6 +895,17 @@ def daily_seasonal_forecast(spark, sf_dir):
     return rounded(daily.predict_daily(frame, daily.fit_daily(frame, model), model).drop("pos", "n_rows"))
 
 
+@query
+def daily_seasonal_gradient(spark, sf_dir):
+    """Slope of the penalised squares at the fitted weights: zero for each series and column."""
+    model = daily.DailyModel()
+    frame = daily.daily_frame(stage(order_days(spark, sf_dir), "days"))
+    fitted = stage(daily.fit_daily(frame, model), "fitted")
+    return daily.gradient(frame, fitted, model).select(
+        "series_id", "column", (F.round("gradient", 6) + F.lit(0.0)).alias("gradient")
+    )
+
+
 @query
 def daily_seasonal_metrics(spark, sf_dir):
     model = daily.DailyModel()

@@ -129,3 +129,22 @@ def predict_daily(frame: DataFrame, fitted: DataFrame, model: DailyModel) -> Dat
     return out.withColumn("yhat", total).select(
         *frame.columns, *model.parts, "yhat"
     )
+
+
+def gradient(frame: DataFrame, fitted: DataFrame, model: DailyModel) -> DataFrame:
+    """Per series and column (0 is the intercept) the slope of the penalised squares per training day.
+
+    Zero where the fit is the best one.
+    """
+    train = frame.where((F.col("split") == "train") & F.col("y").isNotNull())
+    rows = salted_join(train, fitted, KEYS, ["ds"])
+    rows = rows.withColumn("_x", F.concat(F.array(F.lit(1.0)), model.columns()))
+    guess = F.aggregate(F.zip_with("_x", "weights", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    miss = F.col("y") / F.col("scale") - guess
+    terms = rows.select(*KEYS, "weights", miss.alias("_miss"), F.posexplode("_x").alias("column", "_value"))
+    sums = terms.groupBy(*KEYS, "column", "weights").agg(
+        F.sum(F.col("_miss") * F.col("_value")).alias("_sum"), F.count(F.lit(1)).alias("_days")
+    )
+    ridge = F.lit([0.0, *model.ridge.tolist()])
+    pull = F.get(ridge, F.col("column")) * F.get("weights", F.col("column"))
+    return sums.select(*KEYS, "column", ((F.col("_sum") - pull) / F.col("_days")).alias("gradient"))

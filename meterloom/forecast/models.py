@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, ImputerModel, SQLTransformer, VectorAssembler
@@ -10,9 +11,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.config import TARGET, DatasetConfig
+from meterloom.config import TARGET, DatasetConfig, Selection
 from meterloom.metrics import best_model, train_test_metrics
-from meterloom.plans.dataset import Dataset, model_rows, with_features
+from meterloom.plans.dataset import Dataset, feature_list, model_rows, with_features
+from meterloom.session import stage
 
 VECTOR = "features_vector"
 KNOWN = "__known"
@@ -138,10 +140,18 @@ def ablation(
     model: str = "linear",
     **settings,
 ) -> DataFrame:
-    """Errors per feature selection: one fit per configuration on the same table."""
-    table = None
+    """Errors per feature selection: one fit per configuration on the same table.
+
+    Configurations that differ in the selection only share their numbered rows.
+    """
+    table, numbered = None, {}
+    everything = Selection(without=frozenset())
     for name, cfg in configs.items():
-        data = model_rows(features, cfg)
+        wide = replace(cfg, selection=everything)
+        if wide not in numbered:
+            numbered[wide] = stage(model_rows(features, wide).rows, "numbered")
+        rows = numbered[wide]
+        data = Dataset(rows, feature_list(rows.columns, cfg.selection), cfg)
         fitted = fit_one_step(data.train, data.features, model, target=cfg.target, **settings)
         row = evaluate(fitted, data, model).withColumn("selection", F.lit(name))
         table = row if table is None else table.unionByName(row)

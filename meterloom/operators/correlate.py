@@ -76,8 +76,8 @@ def autocorrelation(
 ) -> DataFrame:
     """Autocorrelation at row lags 0…``max_lag`` of every ``thin``-th known value, with Bartlett band.
 
-    Products meet inside position blocks that overlap by ``max_lag`` rows and
-    are summed per task before the shuffle.
+    Products meet inside position blocks that overlap by ``max_lag`` rows; each
+    task keeps one sum per lag, and no row is multiplied.
     """
     rows = with_position(chunked(df.where(F.col(value).isNotNull()), keys=keys))
     kept = stage(
@@ -93,10 +93,12 @@ def autocorrelation(
     centred = salted_join(kept, means, keys, ["pos"]).withColumn("_x", F.col(value) - F.col("_mean"))
     ahead = F.collect_list("_x").over(block_window(keys).rowsBetween(0, max_lag))
     framed = with_frames(centred, {"_ahead": ahead}, after=max_lag)
-    products = framed.select(
-        *keys, "n_rows", "_x", F.posexplode("_ahead").alias("lag", "_y")
+    lags = [str(k) for k in range(max_lag + 1)]
+    wide = framed.groupBy(*keys, "n_rows").agg(
+        *[F.sum(F.col("_x") * F.get("_ahead", F.lit(int(k)))).alias(k) for k in lags]
     )
-    sums = products.groupBy(*keys, "n_rows", "lag").agg(F.sum(F.col("_x") * F.col("_y")).alias("_c"))
+    sums = wide.unpivot([*keys, "n_rows"], lags, "lag", "_c").where("_c is not null")
+    sums = sums.withColumn("lag", F.col("lag").cast("int"))
     series = Window.partitionBy(*keys).orderBy("lag")
     first = F.first("_c").over(series.rowsBetween(Window.unboundedPreceding, 0))
     acf = sums.withColumn("acf", F.col("_c") / first)
