@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from meterloom.catalog.adapters import load_table, weather_readings  # noqa: E402
 from meterloom.catalog.queries import QUERIES  # noqa: E402
 from meterloom.plans.prepare import clean_weather, prepare  # noqa: E402
-from meterloom.session import get_session, shared_folder, stage  # noqa: E402
+from meterloom.session import clear_stages, get_session, shared_folder, stage  # noqa: E402
 from meterloom.sources.headers import LOAD_HEADERS, WEATHER_NUMBER_HEADERS  # noqa: E402
 from meterloom.sources.readers import read_load_csv, read_weather_csv  # noqa: E402
 from meterloom.sources.writers import write_features_csv  # noqa: E402
@@ -118,6 +118,7 @@ def main() -> None:
         start = time.time()
         finish(QUERIES[name](spark, sf_dir))
         seconds[name] = round(time.time() - start, 3)
+        clear_stages(spark)
     if not sys.argv[1:]:
         seconds |= published_pipeline(spark, sf_dir)
     print(

@@ -71,14 +71,24 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """Folder of this application's staged tables."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete all staged tables of this application; results that read them are no longer valid."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and gives later joins true sizes.
-    All tables of an application share one folder, to be cleared when it ends.
+    All tables of an application share one folder; see :func:`clear_stages`.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

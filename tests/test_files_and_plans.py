@@ -166,6 +166,17 @@ def test_repeated_load_keys_fail(spark):
         prepare(stage(load.union(load.limit(1)))).collect()
 
 
+def test_staged_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from meterloom.session import stage_folder
+
+    own = spark.newSession()
+    table = stage(own.range(3))
+    folder = Path(stage_folder(own).removeprefix("file:"))
+    assert table.count() == 3 and folder.is_dir()
+
+
 def test_a_cluster_needs_a_shared_folder():
     from types import SimpleNamespace
 
