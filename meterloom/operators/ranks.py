@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.operators.ordering import CHUNK, chunk_carry, salted_join
-from meterloom.session import stage
 
 EXPLODE_STEP = 65536
 # Half the width of a bracket, and the accuracy of its ends (errors up to 1 / ACCURACY), as shares of the rows.
@@ -99,7 +98,7 @@ def exact_quantiles(
     brackets = known.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_values"), F.percentile_approx(value, sides, ACCURACY).alias("_sides")
     )
-    rows = salted_join(known, stage(brackets, "brackets"), keys, [value])
+    rows = salted_join(known, brackets, keys, [value])
     v = F.col(value)
     low, high = (lambda i: F.col("_sides")[2 * i]), (lambda i: F.col("_sides")[2 * i + 1])
     counted = rows.groupBy(*keys, "n_values").agg(
