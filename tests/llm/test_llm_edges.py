@@ -205,3 +205,10 @@ def test_id_store_round_trip(docs, tmp_path):
         assert index[0].start == 0 and all(a.start + a.n_ids == b.start for a, b in zip(index, index[1:]))
     idstore.write_ids(docs.limit(0), f"{tmp_path}/none", public_tokenizers.path("word_bpe_49k.json"))
     assert idstore.read_documents(docs.sparkSession, f"{tmp_path}/none").collect() == []
+
+
+def test_one_of_each_without_ids(spark):
+    """A component without ids keeps one row; one with an id keeps that of the smallest."""
+    rows = [(None, "alpha beta gamma delta"), (None, "alpha beta gamma delta"), (None, PROSE), (9, PROSE), (3, PROSE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_rows(simhash.one_of_each(docs)) == [(3, PROSE), (None, "alpha beta gamma delta")]
