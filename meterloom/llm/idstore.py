@@ -29,9 +29,10 @@ from tokenizers import Tokenizer
 from .common import per_process, ship_code, slices
 
 END = 2
-# Words that a worker remembers.
-MEMORY = 400_000
+# Words, and their parts, that a worker remembers.
+WORDS, PARTS = 300_000, 700_000
 _BETWEEN = "\x01"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,11 @@ def unpack(payload: bytes, sizes: list[int], n: int, planes: str) -> np.ndarray:
 
 
 class WordCoder:
-    """Encodes texts with a tokenizer that splits at white space and drops it, each different word once."""
+    """Encodes texts with a tokenizer that splits at white space and drops it, each different word once.
+
+    Further, it splits between a letter and a mark other than an apostrophe, and lower-cases:
+    so ``Word,`` is ``word`` and ``,``, each encoded once.
+    """
 
     def __init__(self, content: str):
         self.tokenizer = Tokenizer.from_str(content)
@@ -81,8 +86,25 @@ class WordCoder:
         between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else None
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
+
+    @staticmethod
+    def _cut(word: str) -> tuple[str, str]:
+        """A word, and the marks it ends with if they follow a plain letter.
+
+        Only pure ASCII is lower-cased here: elsewhere normalisation comes first.
+        """
+        low = word.lower() if word.isascii() else word
+        stem = low.rstrip(_MARKS)
+        return (stem, low[len(stem) :]) if stem and "a" <= stem[-1] <= "z" else (low, "")
 
     def _learn(self, words: list[str]) -> None:
+        cuts = {w: self._cut(w) for w in words}
+        self._encode_pieces(list({p for cut in cuts.values() for p in cut if p not in self.pieces}))
+        for word, (stem, tail) in cuts.items():
+            self.known[word] = self.pieces[stem] + self.pieces[tail]
+
+    def _encode_pieces(self, words: list[str]) -> None:
         """Encode words, many in one text with a mark between them; words that hold the mark go alone."""
         alone = [w for w in words if self.between is None or _BETWEEN in w]
         groups = [w for w in words if self.between is not None and _BETWEEN not in w]
@@ -94,10 +116,11 @@ class WordCoder:
             if len(cuts) + 1 != len(group):
                 alone += group
                 continue
-            for word, start, stop in zip(group, [0, *(cuts + 1)], [*cuts, len(ids)]):
-                self.known[word] = ids[start:stop].tobytes()
+            raw = ids.tobytes()
+            for word, start, stop in zip(group, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]):
+                self.pieces[word] = raw[start:stop]
         for word, got in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[word] = np.array(got.ids, np.uint32).tobytes()
+            self.pieces[word] = np.array(got.ids, np.uint32).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
@@ -105,8 +128,10 @@ class WordCoder:
         coded, rows = lists.flatten().dictionary_encode(), pc.list_parent_indices(lists)
         number = coded.indices.to_numpy(zero_copy_only=False)
         words = coded.dictionary.to_pylist()
-        if len(self.known) > MEMORY:
+        if len(self.known) > WORDS:
             self.known.clear()
+        if len(self.pieces) > PARTS:
+            self.pieces = {"": b""}
         if new := [w for w in words if w not in self.known]:
             self._learn(new)
         parts = [self.known[w] for w in words]
@@ -160,7 +185,7 @@ def write_ids(
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             types = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(id_type), pa.list_(pa.int32()), pa.binary()]
-            for rows in slices(batch, "text", 1 << 20):
+            for rows in slices(batch, "text"):
                 ids, counts = coder.encode(rows.column("text"))
                 stops = np.cumsum(counts)
                 ids = np.insert(ids, stops, END)
@@ -226,7 +251,8 @@ def read_documents(spark, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], schema.names)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    streams = blocks.repartition(parts, "part").sortWithinPartitions("part", "block")
+    # By range: parts are numbered, so each task gets about one.
+    streams = blocks.repartitionByRange(parts, "part").sortWithinPartitions("part", "block")
     starts = part_starts(blocks.select("part", "n_ids")).withColumnRenamed("part", "_part")
     found = streams.mapInArrow(run, schema).join(F.broadcast(starts), F.col("part") == F.col("_part"))
     return found.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
