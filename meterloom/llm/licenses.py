@@ -87,22 +87,20 @@ def license_spans(rows: DataFrame) -> DataFrame:
         .agg(F.collect_set("place").alias("places"))  # no more than a template has
     )
     votes = votes.where(F.size("places") >= F.greatest(F.lit(1.0), F.col("pairs") * DIAGONAL_SHARE))
-    one = votes.where("phrase").where(F.size("places") == F.col("pairs"))
-    phrases = one.select(*text, "label", "phrase", F.col("diagonal").alias("first_word"), F.lit(1.0).alias("share"))
     order = Window.partitionBy(*text, "template").orderBy("diagonal")
-    apart = (F.col("diagonal") - F.lag("diagonal").over(order) > NEAR).cast("int")
-    merged = (
-        votes.where("not phrase")
-        .withColumn("span", F.sum(F.coalesce(apart, F.lit(0))).over(order))
+    # Diagonals of a phrase are never merged: each is a place of its own.
+    apart = F.col("phrase") | (F.col("diagonal") - F.lag("diagonal").over(order) > NEAR)
+    return (
+        votes.withColumn("span", F.sum(F.coalesce(apart, F.lit(False)).cast("int")).over(order))
         .groupBy(*text, "template", "label", "phrase", "pairs", "span")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("covered"),
             F.min("diagonal").alias("first_word"),
         )
         .withColumn("share", F.col("covered") / F.col("pairs"))
-        .where(F.col("share") >= SPAN_SHARE)
+        .where(F.col("share") >= F.when(F.col("phrase"), 1.0).otherwise(SPAN_SHARE))
+        .select(*text, "label", "phrase", "first_word", "share")
     )
-    return phrases.union(merged.select(*text, "label", "phrase", "first_word", "share"))
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
