@@ -162,8 +162,10 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     best = rows.groupBy("fp").agg(F.min(order).alias("best")).join(_roots(rows), "fp")
     best = best.groupBy("root").agg(F.min("best").alias("best"))
-    best = stage(best.select(F.col("best.doc_id").alias("_id"), F.col("best.text_hash").alias("_hash")), "kept")
-    name = free_name(docs, "_text_hash")
-    hashed = docs.withColumn(name, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    same = hashed[key].eqNullSafe(best["_id"]) & (hashed[name] == best["_hash"])
-    return hashed.join(best, same, "left_semi").dropDuplicates([key, name]).drop(name)
+    # One column names a row, so that the join and the removal of repeats share one shuffle of the texts.
+    name = free_name(docs, "_row")
+    chosen = F.struct(F.col("best.doc_id").alias("id"), F.col("best.text_hash").alias("hash")).alias(name)
+    best = stage(best.select(chosen), "kept")
+    own = F.struct(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("hash"))
+    rows = docs.withColumn(name, own.cast(best.schema[name].dataType))
+    return rows.join(best, name, "left_semi").dropDuplicates([name]).drop(name)
