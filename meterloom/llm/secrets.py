@@ -4,7 +4,8 @@ Three patterns name secrets outright: assignments to a telling name, cloud acces
 long runs of hex digits. Beside them, every run of key characters is a candidate. Its
 character class sets a limit, and a window slides over it: the Shannon entropy of the
 window is kept by the counts of the character that enters and the one that leaves. Windows
-at the limit or above mark a secret, unless the allow list knows the candidate.
+at the limit or above mark a secret, unless the window holds a placeholder. Identifiers,
+paths and hyphenated words are no candidates.
 
 Positions count code points. They come from the lengths of the matches and of the text
 between them, summed within the row, so nothing is shuffled and no row meets another.
@@ -36,12 +37,31 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 # Bits for a window of 20 characters; digits alone are numbers, not secrets.
 LIMITS = (("^[0-9]+$", None), ("^(?:[0-9a-f]+|[0-9A-F]+)$", 3.02), ("^[A-Za-z]+$", 4.02), ("", 3.82))
-# Placeholders, alphabets, identifiers with hyphens, paths and hyphenated words.
+# Kept for the SQL, which still drops whole candidates by it; the scan has ``NAMES_THINGS`` and ``PLACEHOLDER`` instead.
 ALLOWED = (
     "(?i)example|sample|placeholder|changeme|dummy|your[_-]|x{6,}|0123456789|abcdefgh"
     "|^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
     "|^/?(?:[a-z0-9_=-]*/){2,}[a-z0-9_=-]*$|^[a-z]+(?:[-_/][a-z0-9]+){2,}$|^[=_/+-]+$"
 )
+# Hyphenated identifiers, paths and words of lower-case or numeric parts (none with letters beside digits), and rules.
+NAMES_THINGS = (
+    "^(?:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9A-F]{8}(?:-[0-9A-F]{4}){3}-[0-9A-F]{12})$"
+    "|^(?!.*(?:[A-Z+]|[a-z][0-9]|[0-9][a-z]))[^/]*/[^/]*/"
+    "|^(?!.*(?:[A-Z+=]|[a-z][0-9]|[0-9][a-z]|[-_/][-_/]|[-_/]$))[a-z]+[-_/][^-_/]+[-_/]"
+    "|^[=_/+-]+$"
+)
+
+
+def _in_order(letters: str, size: int) -> list[str]:
+    return [letters[i : i + size] for i in range(len(letters) - size + 1)]
+
+
+# What a window must hold to be no secret: a placeholder word, or a piece of an alphabet.
+PLACEHOLDER = "(?i)" + "|".join(
+    ["example", "sample", "placeholder", "changeme", "dummy", "your[_-]", "x{6,}"]
+    + _in_order("abcdefghijklmnopqrstuvwxyz", 8)
+    + _in_order("0123456789abcdef012345678", 10)
+)
 MARK = "[secret]"
 _BLOCK = 512
 
@@ -93,11 +113,12 @@ def _entropy_span(found: Column) -> Column:
         count = lambda c: F.size(F.filter(stay, lambda x: x == c))
         leaves = F.when(i > WINDOW, gain(count(F.element_at(chars, i - WINDOW)))).otherwise(0.0)
         total = a["total"] + gain(count(F.element_at(chars, i))) - leaves
-        high = (i >= WINDOW) & (math.log2(WINDOW) - total / WINDOW >= a["limit"])
+        window = F.array_join(F.slice(chars, first, WINDOW), "")
+        high = (i >= WINDOW) & (math.log2(WINDOW) - total / WINDOW >= a["limit"]) & ~window.rlike(PLACEHOLDER)
         return F.struct(
             total.alias("total"),
             a["limit"].alias("limit"),
-            F.when(high & a["first"].isNull(), i - WINDOW).otherwise(a["first"]).alias("first"),
+            F.when(a["first"].isNull() & high, i - WINDOW).otherwise(a["first"]).alias("first"),
             F.when(high, i).otherwise(a["last"]).alias("last"),
         )
 
@@ -128,7 +149,7 @@ def secret_spans(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
         return lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"))
 
     spans = [F.transform(x, of_kind(kind)) for kind, x in enumerate(plain)]
-    odd = F.filter(found[3], lambda x: _limit(x["match"]).isNotNull() & ~x["match"].rlike(ALLOWED))
+    odd = F.filter(found[3], lambda x: _limit(x["match"]).isNotNull() & ~x["match"].rlike(NAMES_THINGS))
     marked = F.transform(odd, lambda x: F.struct(x["start"].alias("start"), _entropy_span(x).alias("at")))
     spans.append(
         F.transform(
