@@ -2,7 +2,9 @@
 
 Each line with a word is judged by itself: repeats of an earlier line, navigation,
 symbols, shouting, boilerplate, one word over and over, and short lines without closing
-punctuation fail. Failing lines are removed; a document that loses more than the allowed
+punctuation fail. A boilerplate phrase counts between word borders, and only where such
+phrases are a good share of the line; repetition is judged in pieces of even length, so
+that neither grows with the line. Failing lines are removed; a document that loses more than the allowed
 part of its words is rejected. Two measures of the whole text reject on their own: too
 few words, and too many words inside repeated 8-word windows.
 
@@ -13,6 +15,7 @@ gives an empty result, and columns other than key and text play no part.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +48,8 @@ COLUMNS = (
 )
 _CLOSING = tuple(x.encode() for x in CLOSING)
 _BOILERPLATE = tuple(x.encode() for x in BOILERPLATE)
+# Letters beyond ASCII are word characters too: bytes from 0x80 on.
+_PHRASE = re.compile(rb"(?<![0-9a-z_\x80-\xff])(?:%s)(?![0-9a-z_\x80-\xff])" % "|".join(BOILERPLATE).encode())
 _SYMBOLS = tuple(x.encode() for x in SYMBOLS)
 
 
@@ -55,6 +60,16 @@ class Limits:
     lost_percent: int = 50
     short_line: int = 5
     word_run: int = 10
+    word_span: int = 128
+    phrase_percent: int = 20
+
+
+def over_and_over(words: list[bytes], limits: Limits) -> bool:
+    """Half the words or more are in pieces of ``word_span`` to twice as many words (or all) with few different ones."""
+    n = len(words)
+    parts = max(n // limits.word_span, 1)
+    at = [i * n // parts for i in range(parts + 1)]
+    return 2 * sum(b - a for a, b in zip(at, at[1:]) if len(set(words[a:b])) * 4 < b - a) >= n
 
 
 def line_fails(line: bytes, words: list[bytes], limits: Limits) -> bool:
@@ -66,12 +81,15 @@ def line_fails(line: bytes, words: list[bytes], limits: Limits) -> bool:
         return True
     if sum(map(line.count, _SYMBOLS)) >= n:
         return True
-    if n >= limits.word_run and len(set(words)) * 4 < n:
+    if n >= limits.word_run and over_and_over(words, limits):
         return True
     if n < limits.short_line and not words[-1].endswith(_CLOSING):
         return True
     low = line.lower()
-    return any(x in low for x in _BOILERPLATE)
+    if not any(x in low for x in _BOILERPLATE):
+        return False
+    phrases = sum(x.count(b" ") + 1 for x in _PHRASE.findall(low))
+    return phrases > 0 and 100 * phrases >= limits.phrase_percent * n
 
 
 def judge_lines(text: str, limits: Limits) -> tuple[int, int, int, list[bytes]]:

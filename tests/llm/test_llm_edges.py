@@ -106,6 +106,27 @@ def test_rules_defined_results(docs):
     assert got[4].n_words == 240_000 and got[4].kept
 
 
+def test_long_lines_are_not_judged_by_one_phrase_or_their_length(spark):
+    article = " ".join(f"term{(i * i + 7 * i) % 811} is{i % 13} at{(i * 31) % 97}" for i in range(1700))
+    spam = " ".join(["buy cheap pills now"] * 1200)
+    texts = {
+        1: f"{article} privacy policy {article[:900]} sign up.",
+        2: f"{PROSE} The stain had spread moreover to the cloth.",
+        3: f"{PROSE}\nRead more: all rights reserved, see our privacy policy and terms of use.",
+        4: spam,
+        5: f"{PROSE} {PROSE.upper()} " + "spam " * 400,
+        6: article,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    assert [got[i].n_lost_words for i in (1, 2, 6)] == [0, 0, 0] and all(got[i].kept for i in (1, 2, 6))
+    assert len(set(article.split())) * 4 < got[6].n_words
+    assert got[3].n_lost_words == 13 and got[3].kept
+    assert all(got[i].n_lost_words == got[i].n_words and not got[i].kept for i in (4, 5))
+    clean = {r.doc_id: r.text for r in rules.clean_documents(docs).collect()}
+    assert clean == {1: texts[1], 2: texts[2], 3: PROSE, 6: article}
+
+
 def test_one_of_each(docs):
     kept = as_rows(simhash.one_of_each(docs).select("doc_id", "text"))
     # Texts without words share fingerprint zero, repeated rows collapse.
