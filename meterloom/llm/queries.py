@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import bpe, decontaminate, idstore, langid, licenses, quality, reputation, rules, secrets, simhash
+from . import bpe, decontaminate, idstore, langid, licenses, quality, reputation, rules, secrets, simhash, target_draw
 from .common import table
 from .oracle import SQL
 
@@ -78,3 +78,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op11_target_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_draw.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
