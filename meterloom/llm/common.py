@@ -119,3 +119,10 @@ def lower_ascii(text: Column) -> Column:
 def held_out(key: Column) -> Column:
     """Rows kept from all learning."""
     return F.crc32(key.cast("string").cast("binary")) % 5 == 0
+
+
+def range_count(rows: DataFrame, size: Column, most: int = 128 << 20, least: int = 4 << 20) -> int:
+    """Ranges for a layout of ``rows`` by their bytes: three a core, none far above ``most`` bytes or below ``least``."""
+    total = rows.agg(F.sum(size)).first()[0] or 0
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(-(-total // most), min(-(-total // least), 3 * cores), 1)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import bpe, decontaminate, idstore, langid, licenses, quality, reputation, rules, secrets, simhash, target_draw
+from . import bpe, decontaminate, idstore, langid, licenses, quality, reputation, rules, secrets, simhash, target_draw, vectorcodes
 from .common import table
 from .oracle import SQL
 
@@ -83,3 +83,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_target_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_draw.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.code_table(table(spark, sf_dir, "embeddings"))
