@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, reputation, rules, secrets
+from . import chat, licenses, reputation, rules, secrets, target_draw, vectorcodes
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 DOCS = "docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents)"
@@ -192,9 +192,124 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN low_bound >= {_POL
 FROM places LEFT JOIN bounds USING (host) LEFT JOIN best USING (r)
 """
 
+_DRAW = target_draw.Draw()
+
+
+def _crc_step(byte: int) -> int:
+    for _ in range(8):
+        byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+    return byte
+
+
+_CRC_STEPS = [_crc_step(b) for b in range(256)]
+
+
+def _bytes(blob: str) -> str:
+    """The bytes of a blob as numbers."""
+    return f"list_transform(range(octet_length({blob})), lambda i: ('0x' || substr(hex({blob}), (2 * i + 1)::INT, 2))::INT)"
+
+
+TARGET_DRAW = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, TRUE AS own, text FROM documents
+  UNION ALL SELECT -row_number() OVER (), NULL, FALSE, text FROM benchmark),
+words AS (
+  SELECT r, doc_id, own, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (
+  SELECT r, own, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS run
+  FROM words, (SELECT unnest(range(1, {_DRAW.run + 1})) AS k)),
+known AS (SELECT DISTINCT run FROM runs),
+hashed AS (
+  SELECT run, xor(list_reduce(list_prepend(4294967295::BIGINT, {_bytes("encode(run)")}::BIGINT[]),
+    lambda c, b: xor(c >> 8, {_CRC_STEPS}[((xor(c, b) & 255) + 1)::INT])), 4294967295) % {_DRAW.buckets} AS bucket FROM known),
+placed AS (SELECT r, own, bucket FROM runs JOIN hashed USING (run)),
+every AS (SELECT unnest(range({_DRAW.buckets})) AS bucket),
+counts AS (
+  SELECT bucket, count(own) FILTER (own) AS s, count(own) FILTER (NOT own) AS t FROM every LEFT JOIN placed USING (bucket) GROUP BY bucket),
+sums AS (SELECT sum(s)::BIGINT AS ss, sum(t)::BIGINT AS tt FROM counts),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (ss + {_DRAW.buckets})) / ((s + 1)::DOUBLE * (tt + {_DRAW.buckets}))))::BIGINT AS gain
+  FROM counts, sums),
+weights AS (SELECT r, count(*) AS n_features, sum(gain) AS weight FROM placed JOIN gains USING (bucket) WHERE own GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{_DRAW.seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296))))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (r) WHERE own),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n FROM scored
+  WHERE n_words >= {_DRAW.least_words})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {_DRAW.percent} * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""
+
+_CODING = vectorcodes.Coding()
+_DISTANCE = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))::BIGINT"
+
+
+def _round(number: int) -> str:
+    """Nearest entries under the codebooks of the round before, and the codebooks after it."""
+    k = _CODING.entries
+    assign = f"""
+near{number} AS (
+  SELECT r, p, min({_DISTANCE} * {k} + e) AS best FROM parts JOIN books{number - 1} USING (p) GROUP BY r, p)"""
+    if number > _CODING.rounds:
+        return assign
+    return f"""{assign},
+means{number} AS (
+  SELECT p, e, list(m ORDER BY i) AS z FROM (
+    SELECT p, best % {k} AS e, i, floor(sum(v)::DOUBLE / count(*))::BIGINT AS m
+    FROM (SELECT p, best, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM near{number} JOIN parts USING (r, p)) GROUP BY p, e, i)
+  GROUP BY p, e),
+books{number} AS MATERIALIZED (SELECT p, e, coalesce(z, y) AS y FROM books{number - 1} LEFT JOIN means{number} USING (p, e))"""
+
+
+VECTOR_CODES = f"""
+WITH whole AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, label,
+    list_transform(embedding, lambda v: floor(v::DOUBLE * {_CODING.units})::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, p, x[p * len(x) // {_CODING.parts} + 1:(p + 1) * len(x) // {_CODING.parts}] AS x
+  FROM whole, (SELECT unnest(range({_CODING.parts})) AS p)),
+books0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS y FROM parts WHERE r <= {_CODING.entries}),
+{",".join(_round(i) for i in range(1, _CODING.rounds + 2))},
+codes AS (
+  SELECT r, string_agg(lower(format('{{:02x}}', best % {_CODING.entries})), '' ORDER BY p) AS code,
+    sum(best // {_CODING.entries})::BIGINT AS error
+  FROM near{_CODING.rounds + 1} GROUP BY r),
+sha AS (
+  SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM books{_CODING.rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM whole JOIN codes USING (r), sha
+"""
+
+_TEMPLATE = chat.Template()
+_OPENING = " ".join(f"WHEN role = '{role}' THEN {len(opening)}" for role, opening in _TEMPLATE.openings)
+
+
+def _escaped(text: str) -> str:
+    return rf"length(regexp_replace({text}, '(\\*)({"|".join(_TEMPLATE.controls)})', '\1\1\\\2', 'g'))"
+
+
+CHAT = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = '{_TEMPLATE.learned}'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = '{_TEMPLATE.learned}'), '')) AS loss_sha256,
+  sum({len(_TEMPLATE.closing)} + {_escaped("text")}
+    + CASE {_OPENING} ELSE {len(_TEMPLATE.other) + len(_TEMPLATE.body)} + {_escaped("role")} END)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 SQL = {
     "op3_url_reputation": URL_REPUTATION,
     "op5_licenses": LICENSES,
     "op6_secrets": SECRETS,
     "op8_quality_rules": QUALITY_RULES,
+    "op11_target_draw": TARGET_DRAW,
+    "op12_vector_codes": VECTOR_CODES,
+    "op13_chat": CHAT,
 }
