@@ -102,6 +102,10 @@ _FOUND = " UNION ALL ".join(
         generate_subscripts(regexp_extract_all(text, {_quoted(p)}), 1) AS i FROM docs"""
     for kind, p in enumerate(_PATTERNS)
 )
+_THINGS = " OR ".join(
+    f"regexp_matches(m, {_quoted(holds)})" + (f" AND NOT regexp_matches(m, {_quoted(without)})" if without else "")
+    for holds, without in secrets.NAMES_THINGS
+)
 _NAME = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(secrets.KINDS))
 _SPAN = f"CASE kind {_NAME} END || ':' || s || ':' || e"
 _ORDERED = f"string_agg({_SPAN}, ',' ORDER BY s, kind, e)"
@@ -119,9 +123,10 @@ plain AS (
 windows AS (
   SELECT r, s, e, m, least_bits, k, list_aggregate(string_split(substr(m, k + 1, {secrets.WINDOW}), ''), 'entropy') AS bits
   FROM (SELECT r, s, e, m, {_limit("m")} AS least_bits, unnest(range(0, length(m) - {secrets.WINDOW - 1})) AS k FROM located
-        WHERE kind = 3 AND NOT regexp_matches(m, {_quoted(secrets.ALLOWED)}))),
+        WHERE kind = 3 AND NOT ({_THINGS}))),
 odd AS (
-  SELECT r, 3 AS kind, s + min(k) AS a, s + max(k) + {secrets.WINDOW} AS z FROM windows WHERE bits >= least_bits GROUP BY r, s),
+  SELECT r, 3 AS kind, s + min(k) AS a, s + max(k) + {secrets.WINDOW} AS z FROM windows
+  WHERE bits >= least_bits AND NOT regexp_matches(substr(m, k + 1, {secrets.WINDOW}), {_quoted(secrets.PLACEHOLDER)}) GROUP BY r, s),
 spans AS (SELECT r, kind, s::BIGINT AS s, e::BIGINT AS e FROM plain UNION ALL SELECT r, kind, a::BIGINT, z::BIGINT FROM odd),
 joined AS (
   SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
