@@ -12,6 +12,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_LIMITS = rules.Limits()
+# Every character that parts words is written twice, so that neighbouring phrases need not share one.
+_OUTSIDE = r"^0-9a-z_\x{80}-\x{10FFFF}"
+_PHRASES = f"(?:^|[{_OUTSIDE}])({'|'.join(x.replace(' ', '  ') for x in rules.BOILERPLATE)})(?:[{_OUTSIDE}]|$)"
+
 QUALITY_RULES = rf"""
 WITH {DOCS},
 words AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
@@ -25,14 +30,21 @@ judged AS (
   SELECT *, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again,
     length(line) - length(replace(line, '|', '')) AS bars,
     (length(line) - length(replace(line, '!!', ''))) / 2 AS shouts,
-    len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols
+    len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
+    len(regexp_extract_all(line, '[{rules.UNSPACED}]')) // {_LIMITS.unspaced_word} AS unspaced,
+    greatest(n // {_LIMITS.word_span}, 1) AS k,
+    list_sum(list_transform(regexp_extract_all(regexp_replace({LOWER.format("line")}, '([{_OUTSIDE}])', '\1\1', 'g'),
+      {_quoted(_PHRASES)}, 1), lambda x: len(string_split(x, '  ')))) AS phrases
   FROM lines),
 by_line AS (
   SELECT r, count(*) FILTER (again) AS n_dup_lines, sum(n) FILTER (
       again OR bars >= 2 AND bars * 3 >= n OR shouts * 2 >= n OR symbols >= n
-      OR n >= 10 AND list_unique(w) * 4 < n
-      OR n < 5 AND NOT regexp_matches(w[n], {_quoted("[" + "".join(c.replace("]", chr(92) + "]") for c in rules.CLOSING) + "]$")})
-      OR regexp_matches({LOWER.format("line")}, {_quoted("|".join(rules.BOILERPLATE))})) AS lost
+      OR n >= {_LIMITS.word_run} AND 2 * list_sum(list_transform(range(k), lambda j:
+        CASE WHEN list_unique(w[(j * n // k + 1)::INT:((j + 1) * n // k)::INT]) * 4 < (j + 1) * n // k - j * n // k
+             THEN (j + 1) * n // k - j * n // k ELSE 0 END)) >= n
+      OR n + unspaced < {_LIMITS.short_line} AND n < {_LIMITS.short_line}
+        AND NOT regexp_matches(w[n], {_quoted("[" + "".join(c.replace("]", chr(92) + "]") for c in rules.CLOSING) + "]$")})
+      OR phrases > 0 AND 100 * phrases >= {_LIMITS.phrase_percent} * n) AS lost
   FROM judged GROUP BY r),
 windows AS (
   SELECT r, s, count(*) OVER (PARTITION BY r, g) AS often FROM (

@@ -27,20 +27,24 @@ from pyspark.sql import functions as F
 from .common import SLICE_BYTES, codes, map_texts, ship_code, slices, words_of
 
 SYMBOLS = "#*$%&|<>"
-CLOSING = (".", "!", "?", ":", ";", '"', "'", ")", "]", "…", "”", "»")
+# Marks that end a sentence or a quotation, by script.
+CLOSING = (
+    *(".", "!", "?", ":", ";", '"', "'", ")", "]", "…", "”", "’", "»", "›"),
+    *("。", "！", "？", "：", "；", "」", "』", "）", "】", "》", "．", "｡"),  # Chinese, Japanese
+    *("؟", "۔", "؛"),  # Arabic, Urdu
+    *("।", "॥", "။", "។", "།", "።", "։", "׃", "᠃", "꓿", "\u037e"),  # Devanagari, Burmese, Khmer, Tibetan, Ethiopic, Armenian, Hebrew, Mongolian, Lisu, Greek
+)
+# Scripts written without blanks between words: kana, Han, Hangul-free East Asian blocks, Thai, Lao, Burmese, Khmer.
+UNSPACED = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+# Phrases of page furniture, by language.
 BOILERPLATE = (
-    "all rights reserved",
-    "click here",
-    "cookie policy",
-    "enable javascript",
-    "lorem ipsum",
-    "privacy policy",
-    "read more",
-    "sign up",
-    "subscribe to",
-    "terms of service",
-    "terms of use",
-    "use cookies",
+    *("all rights reserved", "click here", "cookie policy", "enable javascript", "lorem ipsum", "privacy policy"),
+    *("read more", "sign up", "subscribe to", "terms of service", "terms of use", "use cookies"),
+    *("alle rechte vorbehalten", "hier klicken", "weitere informationen", "cookies verwenden"),
+    *("tous droits réservés", "cliquez ici", "lire la suite", "politique de confidentialité"),
+    *("todos los derechos reservados", "haga clic", "leer más", "política de privacidad"),
+    *("tutti i diritti riservati", "clicca qui", "leggi tutto", "informativa sulla privacy"),
+    *("todos os direitos reservados", "clique aqui", "leia mais", "política de privacidade"),
 )
 COLUMNS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -51,6 +55,7 @@ _BOILERPLATE = tuple(x.encode() for x in BOILERPLATE)
 # Letters beyond ASCII are word characters too: bytes from 0x80 on.
 _PHRASE = re.compile(rb"(?<![0-9a-z_\x80-\xff])(?:%s)(?![0-9a-z_\x80-\xff])" % "|".join(BOILERPLATE).encode())
 _SYMBOLS = tuple(x.encode() for x in SYMBOLS)
+_UNSPACED = re.compile(f"[{UNSPACED}]")
 
 
 @dataclass(frozen=True)
@@ -59,6 +64,7 @@ class Limits:
     repeat_percent: int = 30
     lost_percent: int = 50
     short_line: int = 5
+    unspaced_word: int = 2
     word_run: int = 10
     word_span: int = 128
     phrase_percent: int = 20
@@ -84,7 +90,10 @@ def line_fails(line: bytes, words: list[bytes], limits: Limits) -> bool:
     if n >= limits.word_run and over_and_over(words, limits):
         return True
     if n < limits.short_line and not words[-1].endswith(_CLOSING):
-        return True
+        # Without blanks, so many characters count as a word.
+        unspaced = 0 if line.isascii() else len(_UNSPACED.findall(line.decode()))
+        if n + unspaced // limits.unspaced_word < limits.short_line:
+            return True
     low = line.lower()
     if not any(x in low for x in _BOILERPLATE):
         return False
