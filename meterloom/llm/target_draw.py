@@ -29,6 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import stage
 from .common import SLICE_BYTES, free_name, per_process, ship_code, slices, words_of
+from .crc import Appender
 from .radix import Radix, ascending, descending, radix_sort
 
 # Lower-case A-Z; every other ASCII byte that is no letter or digit parts words.
@@ -46,46 +47,12 @@ class Draw:
     seed: int = 42
 
 
-def _times(tables: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """A linear map of 32-bit values, given by the images of each byte value at each of the four places."""
-    out = tables[0][values & 255]
-    for place in (1, 2, 3):
-        out = out ^ tables[place][(values >> (8 * place)) & 255]
-    return out
-
-
-def _append_tables() -> tuple[np.ndarray, np.ndarray]:
-    """Maps of a CRC when 0 to 63 bytes follow, and when 64, 128, 256, ... bytes follow."""
-    places = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
-    step = places[0].copy()
-    for _ in range(8):
-        step = np.where(step & 1, (step >> 1) ^ np.uint32(0xEDB88320), step >> 1).astype(np.uint32)
-    short = [places]
-    for _ in range(64):
-        short.append(step[short[-1] & 255] ^ (short[-1] >> 8))
-    long = [short.pop()]
-    for _ in range(25):
-        long.append(_times(long[-1], long[-1]))
-    return np.array(short), np.array(long)
-
-
 class Runs:
     """Buckets of the word runs of texts."""
 
     def __init__(self, longest: int, buckets: int):
         self.longest, self.buckets = longest, buckets
-        self.short, self.long = per_process(("crc tables",), _append_tables)
-
-    def _append(self, crc: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """What the CRCs add to the CRC of the same bytes with ``size`` more behind them."""
-        low, out = size & 63, np.zeros_like(crc)
-        for place in range(4):
-            out ^= self.short[low, place, (crc >> (8 * place)) & 255]
-        rest = size >> 6
-        for k in range(int(rest.max(initial=0)).bit_length()):
-            some = np.flatnonzero(rest >> k & 1)
-            out[some] = _times(self.long[k], out[some])
-        return out
+        self.appended = per_process(("crc",), Appender)
 
     def _of(self, texts: pa.Array, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words of each text, and the text and bucket of each run; the first ``context`` words only lead into runs."""
@@ -101,7 +68,7 @@ class Runs:
         owners, found, crc = [], [], alone
         for length in range(1, self.longest + 1):
             if length > 1:  # the run of one word less that ends before this word, and this word
-                crc = self._append(np.concatenate([crc[:1], crc[:-1]]), size) ^ spaced
+                crc = self.appended(np.concatenate([crc[:1], crc[:-1]]), size) ^ spaced
             there = place >= max(context, length - 1)
             owners.append(rows[there])
             found.append(crc[there] % np.uint32(self.buckets))

@@ -1,7 +1,12 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing column names, for every operator."""
 
 import hashlib
+import math
+import random
+import re
+import time
 import zlib
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -234,12 +239,70 @@ def test_reputation_blocks_bad_hosts_only(spark):
     assert got == {("h0.site.io", "block"), ("new.site.io", "allow"), *((f"h{h}.site.io", "allow") for h in range(1, 10))}
 
 
+def test_long_runs_take_time_in_proportion(spark):
+    """Window entropy of runs far longer than a block, against a plain count, with a placeholder inside."""
+    rng, letters = random.Random(1), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = "".join(rng.choices(letters, k=120_000))
+    calm = "aB3" * 1000
+    texts = [f"see {key} end", f"{calm}{key[:700]}{calm}", f"{key[:600]}EXAMPLE{key[:13]}", f"{'ab' * 800}Q1{'x' * 500}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = time.monotonic()
+    got = {r.doc_id: r.spans for r in secrets.scan_secrets(docs).collect()}
+    assert time.monotonic() - start < 60
+    for i, text in enumerate(texts):
+        run = max(re.findall(secrets.CANDIDATE, text), key=len)
+        high = []
+        for k in range(len(run) - secrets.WINDOW + 1):
+            window = run[k : k + secrets.WINDOW]
+            bits = -sum(c / 20 * math.log2(c / 20) for c in Counter(window).values())
+            if bits >= 3.82 and not re.search(secrets.PLACEHOLDER, window):
+                high.append(k)
+        at = text.index(run)
+        spans = [x for x in got[i].split(",") if x.startswith("entropy")]
+        assert spans == ([f"entropy:{at + high[0]}:{at + high[-1] + secrets.WINDOW}"] if high else [])
+
+
+def test_blocks_by_index_and_clashing_columns(docs, odd, tmp_path):
+    """A reader picks blocks of the stream by the index; other columns play no part; added tokens keep their ids."""
+    file = public_tokenizers.path("word_bpe_49k.json")
+    spark = docs.sparkSession
+    named = spark.createDataFrame([(20, "hello <|endoftext|> world"), (21, "A<|EndOfText|>b <|ENDOFTEXT|>, x<|startoftext|>.y")], docs.schema)
+    clash = odd.select("*", *[F.lit("clash").alias(c) for c in ("part", "block", "tie", "n_ids", "start", "lead", "payload")])
+    idstore.write_ids(docs.unionByName(named), f"{tmp_path}/a", file, idstore.Layout(1000))
+    idstore.write_ids(clash.unionByName(named, allowMissingColumns=True), f"{tmp_path}/b", file, idstore.Layout(700, "bit"))
+    found = [idstore.read_documents(spark, f"{tmp_path}/{x}") for x in "ab"]
+    assert found[0].columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    # Rows of one id follow by a hash of the text, so places are the same whatever the layout.
+    assert as_rows(found[0]) == as_rows(found[1])
+    place = {r.doc_id: r for r in found[0].collect()}[20]
+    rows = idstore.read_ids(spark, f"{tmp_path}/a", place.start, place.n_tokens).collect()
+    assert [i for r in sorted(rows) for i in r.ids] == [3306, 49407, 1002, 2]
+    middle = idstore.read_ids(spark, f"{tmp_path}/a", 1500, 2600)
+    whole = idstore.read_ids(spark, f"{tmp_path}/b", 1500, 2600)
+    ids = [[i for r in sorted(x.collect()) for i in r.ids] for x in (middle, whole)]
+    assert middle.count() <= 4 and len(ids[0]) == 2600 and ids[0] == ids[1]
+
+
+def test_other_scripts_are_no_navigation(spark):
+    texts = [
+        "\n".join(f"这是第{i}个完整的中文句子，它讲述了一个很长的故事。" for i in range(30)),
+        "\n".join(f"यह वाक्य {i} पूरा है।" for i in range(30)),
+        "\n".join(f"これは{i}番目の行ですが句点なしで続く長い文章です" for i in range(30)),
+        "\n".join(["首页", "关于", "联系"] * 20),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    assert [got[i].n_lost_words for i in range(3)] == [0, 0, 0] and got[3].n_lost_words == got[3].n_words
+    assert [got[i].kept for i in range(4)] == [True, True, True, False]
+    french = spark.createDataFrame([(1, f"{PROSE}\nLire la suite : tous droits réservés.")], "doc_id long, text string")
+    assert rules.quality_rules(french).first().n_lost_words == 7
+
+
 def test_id_store_round_trip(docs, tmp_path):
     """Blocks smaller than texts, byte and bit planes: places, counts and checksums as a plain encoding has them."""
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    coder.encode_special_tokens = True
     for planes, block in (("byte", 1000), ("bit", 4096)):
         path = f"{tmp_path}/{planes}"
         idstore.write_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"), idstore.Layout(block, planes))

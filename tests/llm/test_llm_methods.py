@@ -246,7 +246,6 @@ def test_word_coder_is_the_tokenizer():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     with open(path, encoding="utf-8") as f:
         coder = idstore.WordCoder(f.read())
     texts = [t for _, t in documents(SMALL)] + [None, "", " a b c\x1cd \x01 e\x01f ", "ΟΔΟΣ Ǆ é ́x <|endoftext|>"]
