@@ -32,7 +32,7 @@ from .crc import Appender
 
 END = 2
 # Word parts that a worker remembers, and text bytes whose words it looks up at once.
-PARTS, LOOKUP_BYTES = 500_000, 16 << 20
+PARTS, LOOKUP_BYTES = 300_000, 6 << 20
 _BETWEEN = "\x01"
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 _TAIL = r"(?P<tail>[!\"#$%&()*+,\-./:;<=>?@\[\]^_`{|}~]+)$"
