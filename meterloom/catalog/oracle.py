@@ -641,6 +641,58 @@ define("direct_linear_weights", f"""
     FROM pos a CROSS JOIN range(1, 97) t(h) JOIN pos b ON a.series_id = b.series_id AND b.pos = a.pos + h
     WHERE a.pos + 96 < a.n_rows GROUP BY h""", "pos")
 
+# --- boosted trees for each horizon ---------------------------------------------------------
+
+# The plan of the query in plain numbers: two rounds of trees of four leaves, so of three layers at most.
+TREE_COLUMNS, TREE_ROUNDS, TREE_LEAVES, TREE_STEP, TREE_ROWS = ("weekday", "day", "week"), 2, 4, 0.3, 20
+
+
+def _layer(before: str, now: str) -> dict[str, str]:
+    """Rows with their leaf after the best leaves of ``before`` took their best split, as many as the budget allows."""
+    cells = ", ".join(f"({i}, {c})" for i, c in enumerate(TREE_COLUMNS))
+    return {
+        f"{now}_cells": f"""
+        SELECT h, leaf, f, v, count(*) AS n, sum(g) AS g
+        FROM {before}, LATERAL (VALUES {cells}) AS c(f, v) GROUP BY ALL""",
+        f"{now}_sums": f"""
+        SELECT h, leaf, f, v, sum(n) OVER up AS nl, sum(g) OVER up AS gl, sum(n) OVER every AS n, sum(g) OVER every AS g
+        FROM {now}_cells WINDOW up AS (PARTITION BY h, leaf, f ORDER BY v), every AS (PARTITION BY h, leaf, f)""",
+        f"{now}_best": f"""
+        SELECT h, leaf, f, v, gain FROM (
+          SELECT *, (gl * gl / nl + (g - gl) * (g - gl) / (n - nl) - g * g / n)::FLOAT AS gain
+          FROM {now}_sums WHERE nl >= {TREE_ROWS} AND n - nl >= {TREE_ROWS})
+        WHERE gain > 1e-6 QUALIFY row_number() OVER (PARTITION BY h, leaf ORDER BY gain DESC, f, v) = 1""",
+        f"{now}_taken": f"""
+        SELECT h, leaf, f, v FROM {now}_best JOIN (SELECT h, count(DISTINCT leaf) AS leaves FROM {now}_cells GROUP BY h) USING (h)
+        QUALIFY row_number() OVER (PARTITION BY h ORDER BY gain DESC, leaf) <= {TREE_LEAVES} - leaves""",
+        now: f"""
+        SELECT r.* REPLACE (CASE WHEN b.f IS NULL THEN r.leaf
+            ELSE 2 * r.leaf + ([{", ".join("r." + c for c in TREE_COLUMNS)}][b.f + 1] > b.v)::INT END AS leaf)
+        FROM {before} r LEFT JOIN {now}_taken b ON r.h = b.h AND r.leaf = b.leaf""",
+    }
+
+
+PARTS["tree0"] = f"""
+        SELECT h, {", ".join(TREE_COLUMNS)}, 1 AS leaf, b.load_kwh AS y, avg(b.load_kwh) OVER (PARTITION BY h) AS yhat,
+               b.load_kwh - avg(b.load_kwh) OVER (PARTITION BY h) AS g
+        FROM pos a JOIN load l ON a.series_id = l.series_id AND a.ts = l.ts
+        CROSS JOIN range(1, 97) t(h) JOIN pos b ON a.series_id = b.series_id AND b.pos = a.pos + h
+        WHERE a.pos + 96 < a.n_rows"""
+_trees = ["tree0"]
+for _round in range(TREE_ROUNDS):
+    for _depth in "abc":
+        _parts = _layer(_trees[-1], f"tree{_round + 1}{_depth}")
+        PARTS |= _parts
+        _trees += _parts
+    PARTS[f"tree{_round + 1}"] = f"""
+        SELECT * REPLACE (1 AS leaf, yhat + {TREE_STEP} * avg(g) OVER own AS yhat, g - {TREE_STEP} * avg(g) OVER own AS g)
+        FROM {_trees[-1]} WINDOW own AS (PARTITION BY h, leaf)"""
+    _trees.append(f"tree{_round + 1}")
+define("direct_each_trees", f"""
+    SELECT h, count(*) AS n_rows, {r6('avg(abs(g))', 'mae')}, {r6('sqrt(avg(g * g))', 'rmse')},
+           {r6('min(yhat)', 'least')}, {r6('max(yhat)', 'most')}
+    FROM {_trees[-1]} GROUP BY h""", "load", "pos", *_trees, recursive=True)
+
 # --- permutation importance of the fixed linear model -------------------------------------
 
 # Weight and value of every feature of the fixed model; a missing value counts as 0.

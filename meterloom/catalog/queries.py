@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from meterloom.catalog.adapters import load_table, table, weather_readings
 from meterloom.config import DEFAULT_EXCLUDED_LAGS, DatasetConfig, Selection
 from meterloom.forecast import daily, direct, importance, models, recursive
+from meterloom.forecast.boosting import BoostedTrees, Boosting, fit_boosted
 from meterloom.functions import calendar as cal
 from meterloom.metrics import (
     best_model,
@@ -783,6 +784,44 @@ def direct_pooled_trees(spark, sf_dir):
     return rounded(regression_metrics(long, keys=["split"]))
 
 
+# A few small trees over columns of few values, which SQL can enumerate.
+EACH_FEATURES = ["weekday", "day", "week"]
+EACH_PLAN = Boosting(rounds=2, leaves=4, step=0.3, column_share=1.0)
+
+
+@query
+def direct_each_trees(spark, sf_dir):
+    """One boosted model for each of the 96 horizons: errors on the rows they were fitted on."""
+    rows = stage(lags.horizon_targets(positioned(staged_load(spark, sf_dir)), "load_kwh"), "direct-rows")
+    fitted = direct.fit_direct_each(rows, EACH_FEATURES, EACH_PLAN)
+    long = direct.paired(direct.predict_each(fitted, rows), ())
+    y, yhat = F.col("y"), F.col("yhat")
+    errors = [F.avg(F.abs(y - yhat)).alias("mae"), F.sqrt(F.avg((y - yhat) ** 2)).alias("rmse")]
+    extremes = [F.min(yhat).alias("least"), F.max(yhat).alias("most")]
+    return rounded(long.groupBy(F.col("h").cast("long").alias("h")).agg(F.count(F.lit(1)).alias("n_rows"), *errors, *extremes))
+
+
+@query
+def one_step_boosted(spark, sf_dir):
+    """The published size, 500 trees of 64 leaves: fitted, saved, read back and scored, beside the value of a day before."""
+    data = model_data(spark, sf_dir)
+    plan = Boosting(flight=16)
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/boosted-{uuid.uuid4().hex}"
+    fit_boosted(data.train, data.features, "load_kwh", plan).save(spark, path)
+    scored = BoostedTrees.load(spark, path).predict(data.rows).withColumnRenamed("load_kwh", "y")
+    table = train_test_metrics(scored.withColumn("yhat", F.get("forecasts", F.lit(0)))).select(F.lit("boosted").alias("model"), "*")
+    naive = train_test_metrics(scored.withColumn("yhat", F.col("lag_24h"))).select(F.lit("day_before").alias("model"), "*")
+    return rounded(table.unionByName(naive))
+
+
+@query
+def recursive_boosted_24h(spark, sf_dir):
+    """All 96 steps of every test day with boosted trees."""
+    data = model_data(spark, sf_dir, NO_SHORT_LAGS)
+    fitted = fit_boosted(data.train, data.features, "load_kwh", Boosting(rounds=100, flight=16))
+    return rounded(recursive.forecast_trees(data.rows, recursive.midnight_origins(data.test), fitted))
+
+
 @query
 def one_step_trees(spark, sf_dir):
     data = model_data(spark, sf_dir)
@@ -799,7 +838,8 @@ def model_comparison(spark, sf_dir):
         "gbt": models.boosted_trees(rounds=3, depth=3),
         "rf": models.random_forest(trees=5, depth=5),
     }
-    return rounded(models.compare_models(data, candidates)[1])
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/models-{uuid.uuid4().hex}"
+    return rounded(models.compare_models(data, candidates, folder)[1])
 
 
 @query

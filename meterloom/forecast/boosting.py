@@ -9,9 +9,10 @@ the budget of leaves allows. Residuals are written every few rounds, so that a p
 evaluates only the trees since then.
 
 A tree of 64 leaves takes some seven passes. With several trees in flight, each pass serves a
-layer of each of them, and a new one starts with every pass: the passes are then about as
-many as the rounds. All trees in flight work on the residuals of the finished ones, as in
-boosting with a step as many times larger that is shared by them.
+layer of each of them, and an eighth of their number starts anew with every pass: with eight
+in flight, the passes are about as many as the rounds, with sixteen half as many. All trees
+in flight work on the residuals of the finished ones, as in boosting with a step as many
+times larger that is shared by them; keep ``flight * step`` below one.
 
 What the driver and a pass hold depends on the settings (targets, leaves, features, bins),
 never on the number of rows.
@@ -336,9 +337,9 @@ def fit_boosted(
     state = stage(rows.select(model.inputs().alias("x"), y.alias("y")).mapInArrow(prepare, schema), "boosting")
     rng, started, growing, rounds, recent = np.random.default_rng(plan.seed), 0, [], [], []
     while started < plan.rounds or growing:
-        if started < plan.rounds and len(growing) < plan.flight:
-            growing.append(Growing(targets, len(features), plan, rng))
-            started += 1
+        fresh = min(plan.rounds - started, plan.flight - len(growing), -(-plan.flight // 8))
+        growing += [Growing(targets, len(features), plan, rng) for _ in range(fresh)]
+        started += fresh
         for r in _splits(_histograms(state, recent, growing, plan.bins + 1), len(features), plan):
             growing[r.tree // targets].found(r.tree % targets, r)
         for g in growing:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.config import SLOTS_PER_DAY
+from meterloom.forecast.boosting import BoostedTrees, Boosting, fit_boosted
 from meterloom.forecast.leastsquares import column_means, solve, summed_products
 from meterloom.forecast.models import fit_one_step, score
 from meterloom.operators.lags import horizon_rows
@@ -66,23 +66,12 @@ def fit_direct_pooled(
     return fit_one_step(long, [*features, "h"], model, target="y", **settings)
 
 
-def fit_direct_each(
-    train: DataFrame,
-    features: Sequence[str],
-    model: str = "gbt",
-    *,
-    horizon: int = SLOTS_PER_DAY,
-    workers: int = 4,
-    **settings,
-) -> list[PipelineModel]:
-    """One model per horizon; a few fits run side by side.  Stage ``train`` first."""
+def fit_direct_each(train: DataFrame, features: Sequence[str], plan: Boosting = Boosting()) -> BoostedTrees:
+    """One boosted model per horizon, all grown together from the same passes over the rows.
 
-    def one(h: int) -> PipelineModel:
-        rows = train.select(*features, F.element_at("targets", h).alias("y"))
-        return fit_one_step(rows, features, model, target="y", **settings)
-
-    with ThreadPoolExecutor(workers) as pool:
-        return list(pool.map(one, range(1, horizon + 1)))
+    ``train`` has the ``targets`` array of ``horizon_targets``; nothing is repeated for a horizon.
+    """
+    return fit_boosted(train, features, "targets", plan)
 
 
 def paired(df: DataFrame, keep: Sequence[str] = KEY) -> DataFrame:
@@ -101,10 +90,6 @@ def predict_pooled(model: PipelineModel, df: DataFrame, keep: Sequence[str] = KE
     return score(model, horizon_rows(df)).select(*keep, "h", "y", "yhat")
 
 
-def predict_each(models: Sequence[PipelineModel], df: DataFrame) -> DataFrame:
-    """Add the array of forecasts from one model per horizon."""
-    out, names = df, []
-    for h, model in enumerate(models, start=1):
-        names.append(f"_f{h}")
-        out = score(model, out).withColumnRenamed("yhat", names[-1])
-    return out.withColumn("forecasts", F.array(*names)).drop(*names)
+def predict_each(model: BoostedTrees, df: DataFrame) -> DataFrame:
+    """Add the array of forecasts from one model per horizon, in one projection."""
+    return model.predict(df)

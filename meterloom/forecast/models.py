@@ -15,6 +15,7 @@ from meterloom.config import TARGET, DatasetConfig, Selection
 from meterloom.metrics import best_model, train_test_metrics
 from meterloom.plans.dataset import Dataset, feature_list, model_rows, with_features
 from meterloom.session import stage
+from meterloom.sources.writers import save_model
 
 VECTOR = "features_vector"
 KNOWN = "__known"
@@ -115,15 +116,20 @@ def evaluate(model: PipelineModel, data: Dataset, name: str) -> DataFrame:
 
 
 def compare_models(
-    data: Dataset, models: Mapping[str, Estimator]
+    data: Dataset, models: Mapping[str, Estimator], folder: str | None = None
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit each registered model; fitted pipelines and the comparison table."""
+    """Fit each registered model; fitted pipelines and the comparison table.
+
+    With ``folder``, each pipeline is saved there under its name.
+    """
     fitted = {
         name: fit_one_step(data.train, data.features, estimator, target=data.cfg.target)
         for name, estimator in models.items()
     }
     table = None
     for name, model in fitted.items():
+        if folder:
+            save_model(model, f"{folder}/{name}")
         row = evaluate(model, data, name)
         table = row if table is None else table.unionByName(row)
     return fitted, table

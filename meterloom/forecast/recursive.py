@@ -10,12 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.config import LOCAL_TZ, SLOTS_PER_DAY, STEP_SECONDS, TARGET
+from meterloom.forecast.boosting import BoostedTrees
 from meterloom.forecast.models import VECTOR, scoring_parts
 from meterloom.functions.calendar import calendar_parts, cyclic, day_flags, to_local
 from meterloom.operators.align import asof_backward
@@ -276,6 +280,65 @@ def advance_with_model(
     return state
 
 
+def advance_with_trees(blocks: DataFrame, model: BoostedTrees, *, horizon: int = SLOTS_PER_DAY) -> DataFrame:
+    """Advance all blocks with boosted trees: all steps of a batch of blocks in one Arrow map.
+
+    Histories have one length; blocks with fewer steps end earlier. Features that neither
+    the steps nor the history have are missing values.
+    """
+    shared = model.shared(blocks.sparkSession)
+    names = model.features
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            n, steps, hist = batch.num_rows, batch.column("steps"), batch.column("hist")
+            if not n:
+                continue
+            sizes = pc.list_value_length(steps).to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(n), sizes)
+            at = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            flat = steps.flatten()
+            x = np.full((n, max(horizon, int(sizes.max())), len(names)), np.nan)
+            kinds = flat.type
+            for i, name in enumerate(names):
+                if kinds.get_field_index(name) >= 0:
+                    x[rows, at, i] = flat.field(name).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            past = hist.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1)
+            known = past.shape[1]
+            values = np.concatenate([past, np.full((n, horizon), np.nan)], axis=1)
+            for h in range(horizon):
+                now = x[:, h].copy()
+                for i, name in enumerate(names):
+                    if name in LAG_ROWS:
+                        now[:, i] = values[:, known + h - LAG_ROWS[name]]
+                    elif name == "diff_15m":
+                        now[:, i] = values[:, known + h - 1] - values[:, known + h - 2]
+                values[:, known + h] = model.predict_bins(model.bins(now))[:, 0]
+            ends = known + np.minimum(sizes, horizon)
+            grown = pa.array([v[:e] for v, e in zip(values, ends)], pa.list_(pa.float64()))
+            yield batch.set_column(batch.schema.get_field_index("hist"), "hist", grown)
+
+    return blocks.withColumn("hist", F.col("hist").cast("array<double>")).mapInArrow(
+        run, blocks.withColumn("hist", F.col("hist").cast("array<double>")).schema
+    )
+
+
+def forecast_trees(
+    rows: DataFrame,
+    origins: DataFrame,
+    model: BoostedTrees,
+    *,
+    target: str = TARGET,
+    horizon: int = SLOTS_PER_DAY,
+    mode: str = "reference",
+) -> DataFrame:
+    """Recursive forecast of every origin with boosted trees; nothing is written between the steps."""
+    starts = histories(rows, origins, target=target)
+    blocks = recomputed_steps(starts, rows, model.features, horizon=horizon, mode=mode)
+    return forecast_rows(advance_with_trees(blocks, model, horizon=horizon))
+
+
 def forecast_linear(
     rows: DataFrame,
     origins: DataFrame,

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import math
 from dataclasses import replace
 
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meterloom.config import DatasetConfig, Selection
 from meterloom.forecast import daily, direct, importance, models, recursive
+from meterloom.forecast.boosting import Boosting, fit_boosted
 from meterloom.forecast.leastsquares import products, solve
 from meterloom.functions.calendar import calendar_parts, to_local
 from meterloom.metrics import regression_metrics
@@ -184,9 +187,40 @@ def test_direct_linear_equals_separate_fits(spark, data):
 
 def test_direct_models_per_horizon(spark, data):
     rows = direct_rows(data)
-    fits = direct.fit_direct_each(rows, ["lag_1h", "hour_sin"], "gbt", horizon=3, rounds=1, depth=2)
+    fits = direct.fit_direct_each(rows, ["lag_1h", "hour_sin"], Boosting(rounds=2, leaves=4))
     out = direct.predict_each(fits, rows)
-    assert len(fits) == 3 and out.select(F.size("forecasts")).first()[0] == 3
+    assert out.where(F.size("forecasts") != 96).count() == 0
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        out.explain()
+    assert plan.getvalue().count("ArrowEvalPython") == 1 and "Generate" not in plan.getvalue()
+
+
+def test_recursion_with_trees_equals_a_plain_loop(spark, data):
+    features = ["lag_15m", "lag_24h", "diff_15m", "hour_sin", "is_workday", "temp_2m_lag15", "not_there"]
+    known = [c for c in features if c in data.rows.columns]
+    model = fit_boosted(data.train, known, "load_kwh", Boosting(rounds=4, leaves=8, step=0.5))
+    model = replace(model, features=tuple(features[: len(known)]))
+    origins = recursive.midnight_origins(data.test)
+    starts = recursive.histories(data.rows, origins)
+    blocks = stage(recursive.recomputed_steps(starts, data.rows, model.features))
+    got = {(r.series_id, r.origin): r.hist for r in recursive.advance_with_trees(blocks, model).collect()}
+    assert len(got) == blocks.count() > 0
+    for r in blocks.collect():
+        hist = list(r.hist)
+        for s in r.steps:
+            now = s.asDict() | {c: hist[-k] for c, k in recursive.LAG_ROWS.items()} | {"diff_15m": hist[-1] - hist[-2]}
+            x = np.array([[np.nan if now.get(c) is None else float(now[c]) for c in model.features]])
+            hist.append(float(model.predict_bins(model.bins(x))[0, 0]))
+        assert got[r.series_id, r.origin] == pytest.approx(hist)
+    table = recursive.forecast_trees(data.rows, origins, model)
+    assert table.count() == sum(len(r.steps) for r in blocks.collect())
+
+
+def test_comparison_saves_every_model(spark, data, tmp_path):
+    fitted, _ = models.compare_models(data, {"linear": models.linear()}, folder=str(tmp_path))
+    again = writers.load_model(f"{tmp_path}/linear")
+    rows = [models.score(m, data.test, data.features).agg(F.sum("yhat")).first()[0] for m in (fitted["linear"], again)]
+    assert rows[0] == rows[1]
 
 
 def test_unused_feature_has_no_importance(spark, data):
