@@ -32,7 +32,7 @@ from .crc import Appender
 
 END = 2
 # Word parts that a worker remembers, and text bytes whose words it looks up at once.
-PARTS, LOOKUP_BYTES = 300_000, 6 << 20
+PARTS, LOOKUP_BYTES = 300_000, 3 << 20
 _BETWEEN = "\x01"
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 _TAIL = r"(?P<tail>[!\"#$%&()*+,\-./:;<=>?@\[\]^_`{|}~]+)$"
@@ -257,6 +257,7 @@ def write_ids(
                 n_held += len(ids)
                 while n_held >= layout.block:
                     yield cut(layout.block)
+            pa.default_memory_pool().release_unused()  # an executor's workers share its memory
         if n_held:
             yield cut(n_held)
 
