@@ -869,12 +869,17 @@ def fitted_linear(data: Dataset):
 @query
 def perm_importance_one_step(spark, sf_dir):
     data = model_data(spark, sf_dir)
-    fitted = fitted_linear(data)
+    model = direct.one_horizon(recursive.linear_step(fitted_linear(data)))
+    return rounded(importance.one_step_importance(data.test, model.features, model))
 
-    def predict(rows):
-        return models.score(fitted, rows, data.features).withColumnRenamed("load_kwh", "y")
 
-    return rounded(importance.one_step_importance(data.test, data.features, predict))
+@query
+def perm_importance_boosted(spark, sf_dir):
+    """One-step importance of boosted trees, scored inside the map that holds the rows."""
+    data = model_data(spark, sf_dir)
+    known = data.train.where(F.col("load_kwh").isNotNull())
+    model = fit_boosted(known, data.features, "load_kwh", Boosting(rounds=40, leaves=16, flight=4))
+    return rounded(importance.one_step_importance(data.test, data.features, model))
 
 
 def fixed_prediction(rows: DataFrame) -> DataFrame:
@@ -887,9 +892,8 @@ def fixed_prediction(rows: DataFrame) -> DataFrame:
 @query
 def perm_importance_fixed_model(spark, sf_dir):
     data = model_data(spark, sf_dir)
-    return rounded(importance.one_step_importance(
-        data.test, FIXED_MODEL.features, fixed_prediction
-    ))
+    model = direct.one_horizon(FIXED_MODEL)
+    return rounded(importance.one_step_importance(data.test, model.features, model))
 
 
 @query
@@ -904,12 +908,7 @@ def perm_importance_fixed_recursion(spark, sf_dir):
 def perm_importance_multi_output(spark, sf_dir):
     data = direct_data(spark, sf_dir)
     fitted = direct.fit_direct_linear(data.train, data.features)
-
-    def predict(rows):
-        keep = [c for c in ("series_id", "ts", "feature", "repeat") if c in rows.columns]
-        return direct.paired(fitted.predict(rows), keep)
-
-    return rounded(importance.multi_output_importance(data.test, data.features, predict))
+    return rounded(importance.multi_output_importance(data.test, data.features, fitted))
 
 
 @query

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.session import stage
+from meterloom.session import Shared, stage
 
 # A fitted model is broadcast to score; beyond this size that is an error, not a slow job.
 MOST_BYTES = 256 << 20
@@ -109,11 +109,23 @@ class BoostedTrees:
             out += trees.predict(bins)
         return out
 
-    def shared(self, spark: SparkSession):
+    def forecast(self, x: np.ndarray) -> np.ndarray:
+        """Forecasts (rows x targets) from features (rows x features, NaN if missing)."""
+        return self.predict_bins(self.bins(x))
+
+    def changed(self, x: np.ndarray, known: np.ndarray, i: int, values: np.ndarray) -> np.ndarray:
+        """The forecasts if feature ``i`` had other values; ``known`` are those of ``x``."""
+        if not any((t.feature == i).any() for t in self.rounds):
+            return known
+        other = x.copy()
+        other[:, i] = values
+        return self.forecast(other)
+
+    def shared(self, spark: SparkSession) -> Shared:
         size = sum(t.feature.nbytes * 3 + t.value.nbytes for t in self.rounds)
         if size > MOST_BYTES:
             raise ValueError(f"the ensemble has {size} bytes; more than {MOST_BYTES} are not broadcast")
-        return spark.sparkContext.broadcast(self)
+        return Shared(spark, self)
 
     def predict(self, df: DataFrame, name: str = "forecasts") -> DataFrame:
         """``df`` with the array of forecasts for all targets, from one Arrow map; missing features are missing values."""
@@ -247,7 +259,7 @@ def _histograms(state: DataFrame, recent: Sequence[Trees], growing: Sequence[Gro
     targets, features = growing[0].allowed.shape
     most = max(len(x) for g in growing for x in g.open)
     size = features * width
-    shared = state.sparkSession.sparkContext.broadcast((tuple(recent), [(g.trees, g.slots(), g.allowed) for g in growing]))
+    shared = Shared(state.sparkSession, (tuple(recent), [(g.trees, g.slots(), g.allowed) for g in growing]))
 
     def run(batches):
         recent, growing = shared.value
@@ -355,12 +367,13 @@ def fit_boosted(
 
 def _less(state: DataFrame, recent: Sequence[Trees], features: int, targets: int) -> DataFrame:
     """Residuals after the recent rounds."""
-    shared = state.sparkSession.sparkContext.broadcast(tuple(recent))
+    shared = Shared(state.sparkSession, tuple(recent))
 
     def run(batches):
+        recent = shared.value
         for batch in batches:
             bins, left = _arrays(batch, features, targets)
-            for trees in shared.value:
+            for trees in recent:
                 left = left - trees.predict(bins)
             yield pa.RecordBatch.from_arrays([batch.column("bins"), pa.array(list(left), pa.list_(pa.float64()))], ["bins", "left"])
 

@@ -8,14 +8,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.config import SLOTS_PER_DAY
 from meterloom.forecast.boosting import BoostedTrees, Boosting, fit_boosted
 from meterloom.forecast.leastsquares import column_means, solve, summed_products
 from meterloom.forecast.models import fit_one_step, score
+from meterloom.forecast.recursive import LinearStep
 from meterloom.operators.lags import horizon_rows
+from meterloom.session import Shared
 
 KEY = ("series_id", "ts")
 
@@ -31,6 +33,20 @@ class DirectLinear:
     def inputs(self):
         return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(self.fill[c])) for c in self.features])
 
+    def forecast(self, x: np.ndarray) -> np.ndarray:
+        """Forecasts (rows x horizons) from features (rows x features, NaN if missing)."""
+        means = np.array([self.fill[c] for c in self.features])
+        return np.where(np.isnan(x), means, x) @ self.weights[1:] + self.weights[0]
+
+    def changed(self, x: np.ndarray, known: np.ndarray, i: int, values: np.ndarray) -> np.ndarray:
+        """The forecasts if feature ``i`` had other values; ``known`` are those of ``x``."""
+        old, new = (np.where(np.isnan(v), self.fill[self.features[i]], v) for v in (x[:, i], values))
+        return known + np.outer(new - old, self.weights[i + 1])
+
+    def shared(self, spark: SparkSession) -> Shared:
+        """Broadcast; its size is that of the feature list times the horizons."""
+        return Shared(spark, self)
+
     def predict(self, df: DataFrame, name: str = "forecasts") -> DataFrame:
         """Add the array of forecasts for all horizons."""
         weights = self.weights
@@ -44,6 +60,12 @@ class DirectLinear:
         return df.withColumn(name, apply(self.inputs()))
 
 
+def one_horizon(step: LinearStep) -> DirectLinear:
+    """A linear one-step model as the model of a single horizon."""
+    weights = np.array([step.intercept, *step.weights.values()], float)[:, None]
+    return DirectLinear(tuple(step.features), {c: float(step.fill.get(c, 0.0)) for c in step.features}, weights)
+
+
 def fit_direct_linear(
     train: DataFrame, features: Sequence[str], *, horizon: int = SLOTS_PER_DAY
 ) -> DirectLinear:

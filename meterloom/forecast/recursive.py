@@ -87,7 +87,8 @@ def histories(
     )
 
 
-def _slots(starts: DataFrame, keep: Sequence[str], horizon: int, step: int) -> DataFrame:
+def step_slots(starts: DataFrame, keep: Sequence[str], horizon: int, step: int) -> DataFrame:
+    """One row for each step ``h`` of every block, with its stamp."""
     h = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")
     return starts.select(*keep, "start", h).select(
         *keep,
@@ -148,7 +149,7 @@ def recomputed_steps(
     weather = [c for c in features if c not in calendar and c not in LAG_ROWS
                and c not in CUSTOMER_LAGS and c != "diff_15m"]
     customers = [c for c in CUSTOMER_LAGS if c in features and c in starts.columns]
-    slots = _slots(starts, [*block, *customers], horizon, step)
+    slots = step_slots(starts, [*block, *customers], horizon, step)
     if weather:
         slots = asof_backward(slots, rows.select(*keys, "ts", *weather), keys=keys, step=step)
     first_only = {c: F.when(F.col("h") == 1, F.col(c)) for c in customers}
@@ -158,6 +159,11 @@ def recomputed_steps(
     return _collected(slots, starts, [*calendar, *weather, *customers], block)
 
 
+def unbroken() -> Column:
+    """The steps before the first missing one: they are numbered from 1, and later ones are out of place."""
+    return F.filter("steps", lambda s, i: s["h"] == i + 1)
+
+
 def table_steps(
     starts: DataFrame,
     table: DataFrame,
@@ -176,7 +182,7 @@ def table_steps(
     """
     block = [*keys, "origin"]
     outside = [c for c in features if c not in LAG_ROWS and c != "diff_15m"]
-    slots = _slots(starts, block, horizon, step).join(
+    slots = step_slots(starts, block, horizon, step).join(
         table.select(*keys, "ts", *variant, *outside), [*keys, "ts"]
     )
     if combine is not None:
@@ -184,9 +190,7 @@ def table_steps(
     steps = slots.groupBy(*block, *variant).agg(
         F.array_sort(F.collect_list(F.struct("h", "ts", *outside))).alias("steps")
     )
-    # Steps are numbered from 1; once one is missing, the later ones are out of place.
-    unbroken = F.filter("steps", lambda s, i: s["h"] == i + 1)
-    return starts.select(*block, "hist").join(steps.withColumn("steps", unbroken), block)
+    return starts.select(*block, "hist").join(steps.withColumn("steps", unbroken()), block)
 
 
 def lag_inputs(hist: Column, features: Sequence[str]) -> dict[str, Column]:
@@ -198,14 +202,15 @@ def lag_inputs(hist: Column, features: Sequence[str]) -> dict[str, Column]:
 
 
 def forecast_rows(blocks: DataFrame) -> DataFrame:
-    """Long forecast rows of finished blocks."""
+    """Long forecast rows of finished blocks, with the actual value ``y`` if the steps carry it."""
     block = [c for c in blocks.columns if c not in ("hist", "steps")]
+    truth = [F.col("_p.s.y").alias("y")] if "y" in blocks.schema["steps"].dataType.elementType.names else []
     made = F.slice("hist", SLOTS_PER_DAY + 1, F.greatest(F.size("steps"), F.lit(1)))
     pairs = F.explode(F.arrays_zip(F.col("steps").alias("s"), made.alias("yhat"))).alias("_p")
     return (
         blocks.where(F.size("steps") > 0)
         .select(*block, pairs)
-        .select(*block, F.col("_p.s.h").alias("h"), F.col("_p.s.ts").alias("ts"), F.col("_p.yhat").alias("yhat"))
+        .select(*block, F.col("_p.s.h").alias("h"), F.col("_p.s.ts").alias("ts"), *truth, F.col("_p.yhat").alias("yhat"))
     )
 
 
@@ -221,12 +226,12 @@ class LinearStep:
     def features(self) -> list[str]:
         return list(self.weights)
 
-    def outside_score(self) -> Column:
-        """Part of the forecast that does not depend on earlier forecasts."""
+    def outside_score(self, value: Callable[[str], Column] = F.col) -> Column:
+        """Part of the forecast that does not depend on earlier forecasts; ``value`` finds a feature."""
         total = F.lit(float(self.intercept))
         for c, w in self.weights.items():
             if c not in LAG_ROWS and c != "diff_15m":
-                known = F.coalesce(F.col(c).cast("double"), F.lit(float(self.fill.get(c, 0.0))))
+                known = F.coalesce(value(c).cast("double"), F.lit(float(self.fill.get(c, 0.0))))
                 total = total + F.lit(float(w)) * known
         return total
 

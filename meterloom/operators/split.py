@@ -42,7 +42,7 @@ def seeded_sample(
     return df.orderBy(row_draw(seed, keys, ts), *keys, ts).limit(size)
 
 
-def shuffled_columns(
+def seeded_order(
     df: DataFrame,
     cols: Sequence[str],
     seed: int | str = 42,
@@ -51,16 +51,28 @@ def shuffled_columns(
     ts: str = "ts",
     digits: int = 2,
 ) -> DataFrame:
-    """Exchange the values of ``cols`` among the rows of each series by a seeded permutation.
+    """``keys``, ``pos`` and ``cols``: position i has the values of the row with the i-th draw of its series.
 
-    The row at position i gets the values of the row with the i-th draw.  Draws
-    are spread evenly, so their first ``digits`` hex digits cut a series into
-    equal parts.  ``df`` has positions 0…n-1.
+    Draws are spread evenly, so their first ``digits`` hex digits cut a series into equal parts.
     """
     drawn = df.select(*keys, *cols, row_draw(seed, keys, ts).alias("_draw"))
     part = F.conv(F.substring("_draw", 1, digits), 16, 10).cast("long")
     laid_out = drawn.withColumn(CHUNK, part).repartition(*keys, CHUNK)
-    donors = with_position(laid_out, keys=keys, order=("_draw",), total="_n").select(
-        *keys, "pos", *cols
-    )
+    return with_position(laid_out, keys=keys, order=("_draw",), total="_n").select(*keys, "pos", *cols)
+
+
+def shuffled_columns(
+    df: DataFrame,
+    cols: Sequence[str],
+    seed: int | str = 42,
+    *,
+    keys: Sequence[str] = KEYS,
+    ts: str = "ts",
+    digits: int = 2,
+) -> DataFrame:
+    """Exchange the values of ``cols`` among the rows of each series by a seeded permutation.
+
+    The row at position i gets the values of the row with the i-th draw.  ``df`` has positions 0…n-1.
+    """
+    donors = seeded_order(df, cols, seed, keys=keys, ts=ts, digits=digits)
     return df.drop(*cols).join(donors, [*keys, "pos"])

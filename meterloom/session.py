@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import pickle
 import re
 import shutil
 import sys
@@ -52,6 +53,18 @@ def get_session(app: str = "meterloom", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
+class Shared:
+    """A broadcast that carries the code of its classes too, as executors have no copy of this package."""
+
+    def __init__(self, spark: SparkSession, value):
+        cloudpickle.register_pickle_by_value(sys.modules["meterloom"])
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self._sent.value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` if the cluster names one.
 

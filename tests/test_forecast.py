@@ -1,6 +1,7 @@
 import contextlib
 import io
 import math
+from collections import Counter
 from dataclasses import replace
 
 import numpy as np
@@ -235,6 +236,76 @@ def test_unused_feature_has_no_importance(spark, data):
     assert step.features == ["lag_15m"]
 
 
+def test_models_of_arrays_equal_scored_copies(spark, data):
+    """Errors summed inside the map, against every copy scored as a row."""
+    names = ["lag_15m", "lag_24h", "hour_cos", "temp_2m_lag15"]
+    rows = data.test.withColumn("load_kwh", F.when(F.col("pos") % 50 != 0, F.col("load_kwh")))
+    known = data.train.where("load_kwh is not null")
+    trees = fit_boosted(known, names, "load_kwh", Boosting(rounds=3, leaves=6, bins=16))
+    linear = direct.one_horizon(recursive.LinearStep(3.0, dict(zip(names, (0.5, 0.3, 2.0, 0.1))), {"temp_2m_lag15": 9.0}))
+    for model in (trees, linear):
+
+        def predict(table):
+            return model.predict(table).withColumn("yhat", F.col("forecasts")[0]).withColumn("y", F.col("load_kwh"))
+
+        fast = importance.one_step_importance(rows, names, model, repeats=2).collect()
+        plain = {r.feature: r for r in importance.one_step_importance(rows, names, predict, repeats=2).collect()}
+        assert [r.feature for r in fast] == sorted(names, key=lambda f: (-plain[f].importance_mean, f))
+        for r in fast:
+            assert r.importance_mean == pytest.approx(plain[r.feature].importance_mean, abs=1e-9)
+            assert r.importance_std == pytest.approx(plain[r.feature].importance_std, abs=1e-9)
+
+
+def test_donors_are_a_permutation(spark, data):
+    rows = importance.numbered(data.test.drop("pos", "n_rows")).select("series_id", "ts", "pos", "lag_15m", "lag_24h")
+    table = importance.donated(rows, ["lag_15m", "lag_24h"], 2).collect()
+    assert len(table) == rows.count() and all(len(r.others) == 2 for r in table)
+
+    def counted(pairs):
+        return Counter((s, *["null" if v is None else v for v in x]) for s, x in pairs)
+
+    own = counted((r.series_id, r.own) for r in table)
+    for k in range(2):
+        assert counted((r.series_id, r.others[k]) for r in table) == own
+    assert any(r.others[0] != r.others[1] for r in table)
+    some = rows.where("pos % 7 = 0").select("series_id", "pos")
+    full = {(r.series_id, r.pos): (r.own, r.others) for r in table}
+    part = importance.donated(rows, ["lag_15m", "lag_24h"], 2, receivers=some).collect()
+    assert len(part) == some.count() and all(full[r.series_id, r.pos] == (r.own, r.others) for r in part)
+
+
+def test_no_copy_of_a_row_is_shuffled(spark, data):
+    """Only keys are repeated before an exchange, and the features that other rows take."""
+    rows = stage(importance.numbered(data.test.drop("pos", "n_rows")), "rows")
+    plan = importance.donated(rows, ["lag_15m", "lag_24h"], 2)._jdf.queryExecution().optimizedPlan().toString()
+    generated = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert generated and all("load_kwh" not in line for line in generated)
+
+
+def test_without_actual_values_importance_is_an_error(spark, data):
+    model = direct.one_horizon(recursive.LinearStep(0.0, {"lag_15m": 1.0}))
+    for rows in (data.test.where("false"), data.test.withColumn("load_kwh", F.lit(None).cast("double"))):
+        with pytest.raises(ValueError):
+            importance.one_step_importance(rows, ["lag_15m"], model)
+
+
+def test_recursion_takes_shuffled_features_for_any_model(spark, data):
+    """A model that is scored step by step and the same one as a projection."""
+    model = recursive.LinearStep(20.0, {"hour_sin": 10.0, "temp_2m_lag15": 0.5, "lag_15m": 0.5, "lag_24h": 0.3})
+
+    def advance(blocks):
+        score = F.transform("steps", lambda s: F.struct(
+            s["h"].alias("h"), s["ts"].alias("ts"), s["y"].alias("y"), model.outside_score(lambda c: s[c]).alias("score")))
+        return model.advance(blocks.withColumn("steps", score))
+
+    settings = {"repeats": 2, "max_missing": 96}
+    one = importance.recursive_importance(data.rows, model.features, model.advance, combine=model.outside_score, **settings)
+    two = importance.recursive_importance(data.rows, model.features, advance, **settings)
+    assert [r.feature for r in one.collect()] == [r.feature for r in two.collect()]
+    for a, b in zip(one.collect(), two.collect()):
+        assert a.delta_rmse_mean == pytest.approx(b.delta_rmse_mean, abs=1e-9)
+
+
 def test_recursion_ignores_shuffled_lags(spark, data):
     model = recursive.LinearStep(20.0, {"hour_sin": 10.0, "lag_15m": 0.5, "lag_24h": 0.3})
     table = importance.recursive_importance(
