@@ -5,23 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterloom.config import TARGET
 from meterloom.operators.lags import centred_mean
 from meterloom.operators.ordering import (
+    BLOCK,
+    CHUNK_ROWS,
     KEYS,
-    block_window,
     chunked,
     salted_join,
-    with_frames,
+    with_halo,
     with_position,
 )
-from meterloom.session import stage
 
 # Fixed value: 97.5 % point of the standard normal distribution.
 Z_95 = 1.959963984540054
+# Squares below this share of the squared mean are rounding errors of equal values.
+ROUNDING = 1e-24
 
 
 def correlation_ranking(
@@ -76,40 +82,82 @@ def autocorrelation(
 ) -> DataFrame:
     """Autocorrelation at row lags 0…``max_lag`` of every ``thin``-th known value, with Bartlett band.
 
-    Products meet inside position blocks that overlap by ``max_lag`` rows; each
-    task keeps one sum per lag, and no row is multiplied.
+    Values are gathered in blocks of positions that overlap by ``max_lag``; a block becomes two short
+    vectors of sums by lag, from one Fourier transform.  They are taken around the mean of all
+    known values, which the numbering knows already; the mean of the thinned ones comes in at the
+    end.  Lags without a pair have no row; a constant series has nulls.
     """
-    rows = with_position(chunked(df.where(F.col(value).isNotNull()), keys=keys))
-    kept = stage(
-        rows.where(F.col("pos") % thin == 0).select(
-            *keys,
-            F.floor(F.col("pos") / thin).alias("pos"),
-            F.ceil(F.col("n_rows") / thin).alias("n_rows"),
-            value,
-        ),
-        "thinned",
+    known = df.where(F.col(value).isNotNull()).select(*keys, "ts", F.col(value).cast("double").alias("_x"))
+    rows = with_position(chunked(known, keys=keys), keys=keys, totals={"_sum": F.sum("_x")})
+    centre = F.col("_sum") / F.col("n_rows")
+    thinned = rows.where(F.col("pos") % thin == 0).select(
+        *keys,
+        F.floor(F.col("pos") / thin).alias("pos"),
+        F.ceil(F.col("n_rows") / thin).alias("n_rows"),
+        centre.alias("_centre"),
+        (F.col("_x") - centre).alias("_x"),
+    )
+    size = max(CHUNK_ROWS, 4 * max_lag)
+    whole = [*keys, "n_rows", "_centre"]
+    blocks = (
+        with_halo(thinned, after=max_lag, size=size)
+        .groupBy(*whole, BLOCK)
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "_x"))).alias("_rows"))
+        .select(*whole, BLOCK, F.transform("_rows", lambda r: r["_x"]).alias("_values"))
     )
-    means = kept.groupBy(*keys).agg(F.avg(value).alias("_mean"))
-    centred = salted_join(kept, means, keys, ["pos"]).withColumn("_x", F.col(value) - F.col("_mean"))
-    ahead = F.collect_list("_x").over(block_window(keys).rowsBetween(0, max_lag))
-    framed = with_frames(centred, {"_ahead": ahead}, after=max_lag)
-    lags = [str(k) for k in range(max_lag + 1)]
-    wide = framed.groupBy(*keys, "n_rows").agg(
-        *[F.sum(F.col("_x") * F.get("_ahead", F.lit(int(k)))).alias(k) for k in lags]
+    vectors = lagged_sums(blocks, max_lag, size)
+    sums = (
+        vectors.select(*whole, F.posexplode(F.arrays_zip("products", "pairs")).alias("lag", "_v"))
+        .groupBy(*whole, "lag")
+        .agg(F.sum("_v.products").alias("_s"), F.sum("_v.pairs").alias("_p"))
+        .where(F.col("lag") < F.col("n_rows"))
     )
-    sums = wide.unpivot([*keys, "n_rows"], lags, "lag", "_c").where("_c is not null")
-    sums = sums.withColumn("lag", F.col("lag").cast("int"))
     series = Window.partitionBy(*keys).orderBy("lag")
-    first = F.first("_c").over(series.rowsBetween(Window.unboundedPreceding, 0))
-    acf = sums.withColumn("acf", F.col("_c") / first)
+    upto = series.rowsBetween(Window.unboundedPreceding, 0)
+    # At lag 0 every value is paired with itself, so the pairs add up to twice the values.
+    mean = F.first("_p").over(upto) / (2 * F.col("n_rows"))
+    product = F.col("_s") - mean * F.col("_p") + (F.col("n_rows") - F.col("lag")) * mean * mean
+    centred = sums.withColumn("_c", product)
+    first = F.first("_c").over(upto)
+    spread = first > F.col("n_rows") * F.col("_centre") * F.col("_centre") * ROUNDING
+    acf = centred.withColumn("acf", F.when(spread, F.col("_c") / F.nullif(first, F.lit(0.0))))
     # Lag 0 is no evidence; lag k sums the squares of lags 1…k-1.
     past = F.sum(F.when(F.col("lag") > 0, F.col("acf") ** 2).otherwise(0.0)).over(
         series.rowsBetween(Window.unboundedPreceding, -1)
     )
-    spread = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(
+    band = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(
         F.sqrt((1 + 2 * past) / F.col("n_rows")) * Z_95
     )
-    return acf.select(*keys, "lag", "acf", spread.alias("band"))
+    return acf.select(*keys, "lag", "acf", band.alias("band"))
+
+
+def lagged_sums(blocks: DataFrame, max_lag: int, size: int) -> DataFrame:
+    """``products`` and ``pairs`` by lag: sums of x[i] x[i+lag] and of x[i] + x[i+lag], for the first ``size`` values i."""
+    kept = [f for f in blocks.schema.fields if f.name != "_values"]
+    schema = T.StructType([*kept, *[T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("products", "pairs")]])
+    lags = np.arange(max_lag + 1)
+
+    def sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = x[:size]
+        room = len(x) + max_lag + 1
+        products = np.fft.irfft(np.fft.rfft(x, room) * np.conj(np.fft.rfft(own, room)), room)[: max_lag + 1]
+        upto = np.concatenate([[0.0], np.cumsum(x)])
+        first = upto[np.clip(len(x) - lags, 0, len(own))]
+        second = upto[np.minimum(len(own) + lags, len(x))] - upto[np.minimum(lags, len(x))]
+        return products, first + second
+
+    def run(batches):
+        for batch in batches:
+            values, starts = batch.column("_values").flatten().to_numpy(zero_copy_only=False), 0
+            made = []
+            for n in pc.list_value_length(batch.column("_values")).to_numpy(zero_copy_only=False):
+                made.append(sums(values[starts : starts + n]))
+                starts += n
+            arrays = [pa.array([m[i] for m in made], pa.list_(pa.float64())) for i in (0, 1)]
+            columns = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*columns, *arrays], schema.names)
+
+    return blocks.mapInArrow(run, schema)
 
 
 def seasonal_parts(

@@ -64,6 +64,24 @@ def test_inverse_normal(spark):
     assert got == pytest.approx([NormalDist().inv_cdf(p) for p in ps], rel=1e-12, abs=1e-13)
 
 
+def test_autocorrelation_of_many_blocks_short_and_constant_series(spark):
+    rng = np.random.default_rng(3)
+    values = {"long": 1e6 + rng.normal(0, 1, 9000).cumsum(), "short": rng.normal(0, 1, 5), "flat": np.full(40, 0.1)}
+    rows = [(k, i, None if k == "long" and i % 11 == 5 else float(v)) for k, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "series_id string, i int, load_kwh double").select(
+        "series_id", F.timestamp_seconds(F.col("i") * 900).alias("ts"), "load_kwh"
+    )
+    got = {}
+    for r in correlate.autocorrelation(df, max_lag=30, thin=2).collect():
+        got.setdefault(r.series_id, {})[r.lag] = r.acf
+    for key in ("long", "short"):
+        x = np.array([v for k, _, v in rows if k == key and v is not None])[::2]
+        x = x - x.mean()
+        want = {k: (x[: len(x) - k] @ x[k:]) / (x @ x) for k in range(min(31, len(x)))}
+        assert got[key] == pytest.approx(want, abs=1e-9)
+    assert len(got["flat"]) == 20 and set(got["flat"].values()) == {None}
+
+
 def test_autocorrelation_matches_direct_sum(spark):
     y = np.random.default_rng(2).normal(size=400).cumsum()
     df = series(spark, [(15 * i, float(v)) for i, v in enumerate(y)], ["load_kwh double"])
