@@ -12,6 +12,7 @@ from meterloom.functions.calendar import WEEKDAY_HEADERS
 from meterloom.functions.numeric import with_inverse_normal
 from meterloom.operators.ordering import KEYS, salted_join
 from meterloom.operators.ranks import exact_quantiles, explode_ranks, value_ranks
+from meterloom.session import stage
 
 
 def daily_profile(
@@ -38,9 +39,9 @@ def box_stats(df: DataFrame, value: str = TARGET, *, keys: Sequence[str] = ()) -
 
     A whisker ends at the farthest value inside its fence, at least at the quartile.
     """
-    known = df.where(F.col(value).isNotNull())
+    known = stage(df.where(F.col(value).isNotNull()).select(*keys, value), "known")
     quartiles = exact_quantiles(known, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys=keys)
-    rows = salted_join(known.select(*keys, value), quartiles, keys, [value])
+    rows = salted_join(known, quartiles, keys, [value])
     v = F.col(value)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     low, high = F.col("q1") - reach, F.col("q3") + reach
