@@ -636,6 +636,10 @@ SQL["next_day_forecast"] = recursion("scores", f"""
         SELECT (series_id, max(ts)) FROM model_frame
         WHERE right(local_time, 5) = '00:00' AND local_hour = 0 GROUP BY series_id)""")
 SQL["next_day_stored"] = SQL["next_day_forecast"]
+SQL["next_day_runs"] = recursion("scores", f"""
+    SELECT series_id, origin, h, ts, {r6('yhat')} FROM run WHERE h > 0 AND (series_id, origin) IN (
+        SELECT (series_id, unnest(max(ts, 2))) FROM model_frame
+        WHERE right(local_time, 5) = '00:00' AND local_hour = 0 GROUP BY series_id)""")
 define("direct_linear_weights", f"""
     SELECT h, {r6('regr_intercept(b.load_kwh, a.load_kwh)', 'intercept')}, {r6('regr_slope(b.load_kwh, a.load_kwh)', 'slope')}
     FROM pos a CROSS JOIN range(1, 97) t(h) JOIN pos b ON a.series_id = b.series_id AND b.pos = a.pos + h
@@ -794,3 +798,9 @@ SQL["perm_importance_fixed_recursion"] = with_parts(
 SQL["daily_seasonal_gradient"] = """
     SELECT series_id, unnest(range(0, 1 + 26 + 6 + 20 + 4)) AS "column", 0.0::DOUBLE AS gradient
     FROM (SELECT DISTINCT o_orderpriority AS series_id FROM orders)"""
+# Series with at least one training day: the first floor(0.7 n) of their complete days.
+define("daily_load_gradient", """
+    SELECT series_id, unnest(range(0, 1 + 26 + 6 + 20 + 4)) AS "column", 0.0::DOUBLE AS gradient
+    FROM (SELECT series_id FROM (
+        SELECT series_id FROM shifted GROUP BY series_id, strftime(lt, '%Y-%m-%d') HAVING count(load_kwh) = 96)
+      GROUP BY series_id HAVING floor(count(*) * 0.7::DOUBLE) >= 1)""", "shifted")

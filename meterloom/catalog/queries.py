@@ -32,7 +32,15 @@ from meterloom.plans.prepare import clean_weather, prepare
 from meterloom.session import configure, shared_folder, stage
 from meterloom.sources.headers import LOAD_HEADERS, WEATHER_NUMBER_HEADERS
 from meterloom.sources.readers import read_features, read_load_csv, read_weather_csv
-from meterloom.sources.writers import load_model, save_model, write_features, write_features_csv, write_report
+from meterloom.sources.writers import (
+    load_model,
+    read_forecasts,
+    save_model,
+    store_forecasts,
+    write_features,
+    write_features_csv,
+    write_report,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -720,6 +728,24 @@ def next_day_stored(spark, sf_dir):
     return rounded(read_features(spark, path).drop("ts_month"))
 
 
+@query
+def next_day_runs(spark, sf_dir):
+    """The daily job for two days, the second one run again for some of the series: every block once."""
+    rows = model_data(spark, sf_dir).rows
+    path = fresh_path(spark, "daily-job")
+    last = recursive.midnight_origins(rows).groupBy("series_id").agg(F.max("ts").alias("_last"))
+    earlier = rows.join(last, "series_id").where("ts < _last").drop("_last")
+
+    def advance(origins):
+        return recursive.forecast_linear(rows, origins, FIXED_MODEL)
+
+    store_forecasts(recursive.next_day_forecast(earlier, advance), path)
+    second = recursive.next_day_forecast(rows, advance)
+    store_forecasts(second, path)
+    store_forecasts(second.where(F.pmod(F.xxhash64("series_id"), F.lit(2)) == 0), path)
+    return rounded(read_forecasts(spark, path).drop("origin_day", "series_part"))
+
+
 @query
 def score_absent_feature(spark, sf_dir):
     """Fixed model on a table that lacks one of its features."""
@@ -945,6 +971,22 @@ def daily_seasonal_gradient(spark, sf_dir):
     )
 
 
+def load_days(spark, sf_dir) -> DataFrame:
+    """Mean load of the complete local days."""
+    return resample.complete_days(resample.local_days(load_table(spark, sf_dir, shift_days=80), how="mean"))
+
+
+@query
+def daily_load_gradient(spark, sf_dir):
+    """Daily baseline on load days: optimality of the fit, zero for each series and column."""
+    model = daily.DailyModel()
+    frame = daily.daily_frame(stage(load_days(spark, sf_dir), "days"))
+    fitted = stage(daily.fit_daily(frame, model), "fitted")
+    return daily.gradient(frame, fitted, model).select(
+        "series_id", "column", (F.round("gradient", 6) + F.lit(0.0)).alias("gradient")
+    )
+
+
 @query
 def daily_seasonal_metrics(spark, sf_dir):
     model = daily.DailyModel()

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.forecast.leastsquares import products, solve
+from meterloom.forecast.leastsquares import products, solve_sparse
 from meterloom.functions.calendar import EASTER_HOLIDAYS, FIXED_HOLIDAYS, holiday_flags
 from meterloom.operators.ordering import KEYS, salted_join, with_position
 from meterloom.operators.split import with_split
@@ -43,10 +43,16 @@ class DailyModel:
 
     @property
     def ridge(self) -> np.ndarray:
-        """Penalty per column for a target scaled to at most 1."""
-        change = [0.0] + [(self.noise / self.changepoint_scale) ** 2] * self.changepoints
+        """Penalty of squares per column for a target scaled to at most 1; none on the trend."""
         other = (self.noise / self.seasonality_scale) ** 2
-        return np.array(change + [other] * (sum(self.parts.values()) - len(change)))
+        trend = self.parts["trend"]
+        return np.array([0.0] * trend + [other] * (sum(self.parts.values()) - trend))
+
+    @property
+    def lasso(self) -> np.ndarray:
+        """Penalty of absolute values per column: the trend changes at few of its points."""
+        change = [0.0] + [self.noise**2 / self.changepoint_scale] * self.changepoints
+        return np.array(change + [0.0] * (sum(self.parts.values()) - len(change)))
 
     def columns(self, ds: str = "ds") -> Column:
         """Model columns of a day; needs ``first_day`` and ``span`` (training days) of its series."""
@@ -91,7 +97,7 @@ def fit_daily(frame: DataFrame, model: DailyModel) -> DataFrame:
         (F.col("y") / F.nullif("scale", F.lit(0.0))).alias("y"),
     )
     width = sum(model.parts.values())
-    ridge = model.ridge
+    ridge, lasso = model.ridge, model.lasso
 
     def of_year(key, pdf: pd.DataFrame) -> pd.DataFrame:
         known = pdf.dropna(subset=["y"])
@@ -102,7 +108,7 @@ def fit_daily(frame: DataFrame, model: DailyModel) -> DataFrame:
 
     def of_series(key, pdf: pd.DataFrame) -> pd.DataFrame:
         sums = np.sum(np.vstack(pdf["sums"].to_numpy()), axis=0).reshape(width + 1, width + 2)
-        return pd.DataFrame({"series_id": [key[0]], "weights": [solve(sums, ridge).ravel()]})
+        return pd.DataFrame({"series_id": [key[0]], "weights": [solve_sparse(sums, ridge, lasso)]})
 
     yearly = rows.groupBy(*KEYS, "year").applyInPandas(of_year, "series_id string, sums array<double>")
     weights = yearly.groupBy(*KEYS).applyInPandas(of_series, "series_id string, weights array<double>")
@@ -132,9 +138,10 @@ def predict_daily(frame: DataFrame, fitted: DataFrame, model: DailyModel) -> Dat
 
 
 def gradient(frame: DataFrame, fitted: DataFrame, model: DailyModel) -> DataFrame:
-    """Per series and column (0 is the intercept) the slope of the penalised squares per training day.
+    """Per series and column (0 is the intercept) the least slope of half the penalised squares per training day.
 
-    Zero where the fit is the best one.
+    Zero where the fit is the best one: a column with a lasso that is not in use may pull with
+    its penalty in either direction.
     """
     train = frame.where((F.col("split") == "train") & F.col("y").isNotNull())
     rows = salted_join(train, fitted, KEYS, ["ds"])
@@ -146,5 +153,9 @@ def gradient(frame: DataFrame, fitted: DataFrame, model: DailyModel) -> DataFram
         F.sum(F.col("_miss") * F.col("_value")).alias("_sum"), F.count(F.lit(1)).alias("_days")
     )
     ridge = F.lit([0.0, *model.ridge.tolist()])
-    pull = F.get(ridge, F.col("column")) * F.get("weights", F.col("column"))
-    return sums.select(*KEYS, "column", ((F.col("_sum") - pull) / F.col("_days")).alias("gradient"))
+    weight = F.get("weights", F.col("column"))
+    slope = F.col("_sum") - F.get(ridge, F.col("column")) * weight
+    held = F.get(F.lit([0.0, *model.lasso.tolist()]), F.col("column"))
+    idle = F.signum(slope) * F.greatest(F.abs(slope) - held, F.lit(0.0))
+    left = F.when(weight == 0, idle).otherwise(slope - held * F.signum(weight))
+    return sums.select(*KEYS, "column", (left / F.col("_days")).alias("gradient"))

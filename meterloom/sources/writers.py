@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterloom.functions.calendar import to_local
 from meterloom.operators.ordering import KEYS
+from meterloom.session import stage
 from meterloom.sources.headers import FEATURE_HEADERS
 from meterloom.sources.readers import LATIN1
 
+DAY, DAY_FORMAT = "origin_day", "yyyy-MM-dd"
 MONTH = "ts_month"
 MONTH_FORMAT = "yyyy-MM"
 STAMP = "yyyy-MM-dd HH:mm:ssXXX"
@@ -33,6 +38,50 @@ def write_features(df: DataFrame, path: str, *, mode: str = "errorifexists") ->
     )
 
 
+def store_forecasts(
+    forecast: DataFrame, path: str, *, parts: int = 16, block: Sequence[str] = (*KEYS, "origin")
+) -> None:
+    """Sink of a daily job: each block of forecasts is there once, however often the job runs.
+
+    The table is laid out by local day of the origin and ``parts`` groups of series.  A run
+    replaces the folders that it touches and no others; in these, blocks that it does not
+    forecast stay.  A block that comes again is replaced whole.  Without rows, nothing changes.
+    One job at a time may write a day.
+    """
+    spark = forecast.sparkSession
+    place = [DAY, "series_part"]
+    new = stage(
+        forecast.withColumns(
+            {
+                DAY: F.date_format(to_local("origin"), DAY_FORMAT),
+                "series_part": F.pmod(F.xxhash64(*KEYS), F.lit(parts)).cast("int"),
+            }
+        ),
+        "forecasts",
+    )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        stored = spark.read.schema(new.schema).parquet(path)
+        touched = new.select(*place).distinct()
+        rest = stored.join(touched, place, "left_semi").join(new.select(*block).distinct(), list(block), "left_anti")
+        new = stage(new.unionByName(rest.select(*new.columns)), "forecasts")
+    (
+        new.hint("rebalance", *[F.col(c) for c in place])
+        .sortWithinPartitions(*place, *block)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*place)
+        .parquet(path)
+    )
+
+
+def read_forecasts(spark: SparkSession, path: str) -> DataFrame:
+    """The table of :func:`store_forecasts`; a filter on ``origin_day`` (text) reads its folders only."""
+    names = spark.read.parquet(path).schema
+    kinds = ", ".join(f"`{f.name}` {'string' if f.name == DAY else f.dataType.simpleString()}" for f in names)
+    return spark.read.schema(kinds).parquet(path)
+
+
 def write_features_csv(
     df: DataFrame, path: str, *, source_names: bool = True, mode: str = "errorifexists"
 ) -> None:

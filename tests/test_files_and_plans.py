@@ -223,3 +223,33 @@ def test_feature_plan_gives_the_same_rows_without_broadcasts(spark):
         assert total() == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_daily_sink_holds_every_block_once(spark, tmp_path):
+    path = str(tmp_path / "forecasts")
+
+    def block(series_id, day, value, steps=3):
+        return [(series_id, f"2024-01-{day:02d} 23:00:00", h, float(value + h)) for h in range(steps)]
+
+    def run(*blocks):
+        rows = [row for b in blocks for row in b]
+        df = spark.createDataFrame(rows, "series_id string, origin string, h int, yhat double")
+        writers.store_forecasts(df.withColumn("origin", F.to_timestamp("origin")), path, parts=2)
+
+    def stored():
+        rows = writers.read_forecasts(spark, path).collect()
+        return sorted((r.series_id, r.origin_day, r.h, r.yhat) for r in rows)
+
+    names = "abcdefgh"
+    run(*[block(k, 1, 0) for k in names])
+    run(*[block(k, 2, 10) for k in names])
+    once = stored()
+    assert len(once) == 48 and {r[1] for r in once} == {"2024-01-02", "2024-01-03"}
+    run(*[block(k, 2, 10) for k in names])
+    assert stored() == once
+    # A run for one series replaces its block, a shorter one too, and leaves the others.
+    run(block("c", 2, 50, steps=2))
+    assert stored() == sorted([r for r in once if r[:2] != ("c", "2024-01-03")] + [("c", "2024-01-03", h, 50.0 + h) for h in (0, 1)])
+    before = stored()
+    run()
+    assert stored() == before

@@ -1,5 +1,6 @@
 import contextlib
 import io
+import itertools
 import math
 from collections import Counter
 from dataclasses import replace
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from meterloom.config import DatasetConfig, Selection
 from meterloom.forecast import daily, direct, importance, models, recursive
 from meterloom.forecast.boosting import Boosting, fit_boosted
-from meterloom.forecast.leastsquares import products, solve
+from meterloom.forecast.leastsquares import products, solve, solve_sparse
 from meterloom.functions.calendar import calendar_parts, to_local
 from meterloom.metrics import regression_metrics
 from meterloom.operators import lags, split
@@ -315,6 +316,43 @@ def test_recursion_ignores_shuffled_lags(spark, data):
     assert rows["lag_15m"] == 0.0 and rows["lag_24h"] == 0.0 and rows["hour_sin"] != 0.0
 
 
+def test_sparse_fit_is_the_best_of_all_sign_patterns():
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(size=(60, 2)), rng.normal(size=(60, 3)) @ rng.normal(size=(3, 3))])
+    y = 2 + x[:, 0] - 3 * x[:, 2] + 0.3 * rng.normal(size=60)
+    ridge, lasso = np.array([0.0, 0.5, 0, 0, 0]), np.array([0, 0, 9.0, 9.0, 9.0])
+    got = solve_sparse(products(x, y[:, None]), ridge, lasso)
+
+    def cost(w):
+        left = y - w[0] - x @ w[1:]
+        return (left @ left + ridge @ w[1:] ** 2) / 2 + lasso @ np.abs(w[1:])
+
+    full, best = np.column_stack([np.ones(60), x]), math.inf
+    gram = full.T @ full + np.diag([0.0, *ridge])
+    for signs in itertools.product((-1, 0, 1), repeat=3):
+        on = [0, 1, 2, *[3 + i for i, s in enumerate(signs) if s]]
+        w = np.zeros(6)
+        pull = np.array([0, 0, 0, *[9.0 * s for s in signs]])
+        w[on] = np.linalg.solve(gram[np.ix_(on, on)], (full.T @ y - pull)[on])
+        best = min(best, cost(w))
+    assert cost(got) == pytest.approx(best, rel=1e-12)
+    assert (got[3:] == 0).any() and (got[3:] != 0).any()
+
+
+def test_daily_trend_changes_at_few_points(spark):
+    days = spark.range(1200).select(
+        F.lit("a").alias("series_id"),
+        F.date_add(F.lit("2019-01-01").cast("date"), F.col("id").cast("int")).alias("ds"),
+        (100 + 0.1 * F.greatest(F.col("id") - 300, F.lit(0)) + F.sin(F.col("id") * 7.3)).alias("y"),
+    )
+    model = daily.DailyModel()
+    frame = daily.daily_frame(days)
+    fitted = stage(daily.fit_daily(frame, model))
+    weights = np.array(fitted.first().weights)
+    assert 0 < np.count_nonzero(weights[2:27]) <= 8
+    assert daily.gradient(frame, fitted, model).select(F.max(F.abs("gradient"))).first()[0] < 1e-9
+
+
 def test_daily_baseline_finds_week_and_parts_add_up(spark):
     days = spark.range(900).select(
         F.lit("a").alias("series_id"),
