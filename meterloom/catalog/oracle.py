@@ -798,9 +798,10 @@ SQL["perm_importance_fixed_recursion"] = with_parts(
 SQL["daily_seasonal_gradient"] = """
     SELECT series_id, unnest(range(0, 1 + 26 + 6 + 20 + 4)) AS "column", 0.0::DOUBLE AS gradient
     FROM (SELECT DISTINCT o_orderpriority AS series_id FROM orders)"""
-# Series with at least one training day: the first floor(0.7 n) of their complete days.
+# Series with at least one training day: the first floor(0.7 n) of the days that the filled grid covers.
 define("daily_load_gradient", """
     SELECT series_id, unnest(range(0, 1 + 26 + 6 + 20 + 4)) AS "column", 0.0::DOUBLE AS gradient
     FROM (SELECT series_id FROM (
-        SELECT series_id FROM shifted GROUP BY series_id, strftime(lt, '%Y-%m-%d') HAVING count(load_kwh) = 96)
-      GROUP BY series_id HAVING floor(count(*) * 0.7::DOUBLE) >= 1)""", "shifted")
+        SELECT series_id FROM axis
+        GROUP BY series_id, strftime(timezone('Europe/Zurich', timezone('UTC', ts)), '%Y-%m-%d') HAVING count(*) = 96)
+      GROUP BY series_id HAVING floor(count(*) * 0.7::DOUBLE) >= 1)""", "axis")

@@ -972,8 +972,10 @@ def daily_seasonal_gradient(spark, sf_dir):
 
 
 def load_days(spark, sf_dir) -> DataFrame:
-    """Mean load of the complete local days."""
-    return resample.complete_days(resample.local_days(load_table(spark, sf_dir, shift_days=80), how="mean"))
+    """Mean load of the complete local days, gaps of the grid filled in time."""
+    load = staged_load(spark, sf_dir)
+    grid = align.regrid(load, align.time_axis(load)).select("series_id", "ts", "load_kwh", CHUNK)
+    return resample.complete_days(resample.local_days(interpolate_time(grid, ["load_kwh"]), how="mean"))
 
 
 @query
