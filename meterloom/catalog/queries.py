@@ -29,7 +29,7 @@ from meterloom.operators.fill import ffill_bfill, interpolate_time
 from meterloom.operators.ordering import CHUNK, chunked, with_position
 from meterloom.plans.dataset import Dataset, load_and_split, model_rows, with_features
 from meterloom.plans.prepare import clean_weather, prepare
-from meterloom.session import configure, shared_folder, stage
+from meterloom.session import configure, shared_folder, stage, stage_folder
 from meterloom.sources.headers import LOAD_HEADERS, WEATHER_NUMBER_HEADERS
 from meterloom.sources.readers import read_features, read_load_csv, read_weather_csv
 from meterloom.sources.writers import (
@@ -41,6 +41,7 @@ from meterloom.sources.writers import (
     write_features_csv,
     write_report,
 )
+from meterloom.streaming import slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -333,6 +334,26 @@ def daily_complete_days(spark, sf_dir):
     return rounded(resample.complete_days(days))
 
 
+def closed_slots(spark, sf_dir, shift_days: int = 0) -> DataFrame:
+    """Hours of the stored load, read as a stream, that the watermark has closed."""
+    folder = f"{stage_folder(spark)}/feed-{uuid.uuid4().hex}"
+    load = load_table(spark, sf_dir, shift_days).select("series_id", "ts", "load_kwh")
+    load.write.parquet(f"{folder}/in")
+    sums = slots.slot_sums(spark.readStream.schema(load.schema).parquet(f"{folder}/in"))
+    slots.write_closed(sums, folder).awaitTermination()
+    return slots.read_closed(spark, folder, sums)
+
+
+@query
+def streamed_hourly_mean(spark, sf_dir):
+    return rounded(slots.hourly_means(closed_slots(spark, sf_dir)))
+
+
+@query
+def streamed_daily_totals(spark, sf_dir):
+    return rounded(slots.day_totals(closed_slots(spark, sf_dir, shift_days=80)))
+
+
 @query
 def hour_weekday_pivot(spark, sf_dir):
     return rounded(profile.hour_weekday_pivot(load_table(spark, sf_dir)))
@@ -792,6 +813,15 @@ def direct_linear_metrics(spark, sf_dir):
     return rounded(regression_metrics(long, keys=["split"]))
 
 
+@query
+def direct_linear_optimality(spark, sf_dir):
+    """All features, all horizons: mean forecast of the fitted rows, and the largest slope of the squares left in any weight."""
+    data = direct_data(spark, sf_dir)
+    fitted = direct.fit_direct_linear(data.train, data.features)
+    facts = direct.normal_equations(data.train, fitted)
+    return rounded(spark.createDataFrame(facts, "h long, n_rows long, mean_forecast double, slope_left double"))
+
+
 @query
 def direct_linear_blocks(spark, sf_dir):
     data = direct_data(spark, sf_dir)

@@ -80,6 +80,22 @@ def fit_direct_linear(
     return DirectLinear(tuple(features), fill, solve(sums))
 
 
+def normal_equations(rows: DataFrame, fitted: DirectLinear) -> list[tuple[int, int, float, float]]:
+    """``(h, rows, mean forecast, slope left)`` of each horizon, from one pass over the rows the models were fitted on.
+
+    The slope left is the largest correlation of the errors with a feature, in units of the target: zero
+    at the least squares. One row a horizon, whatever the number of rows.
+    """
+    error = F.zip_with("targets", "forecasts", lambda y, yhat: y - yhat)
+    both = fitted.predict(rows).select(fitted.inputs().alias("x"), F.concat(error, "forecasts").alias("y"))
+    horizon, p = fitted.weights.shape[1], len(fitted.features) + 1
+    sums = summed_products(both, "x", "y", p - 1, 2 * horizon)
+    n, size = sums[0, 0], np.sqrt(np.maximum(np.diag(sums[:, :p]), 1e-300))
+    left = np.abs(sums[:, p : p + horizon] / size[:, None]).max(0) / np.sqrt(n)
+    means = sums[0, p + horizon :] / n
+    return [(h + 1, int(n), float(means[h]), float(left[h])) for h in range(horizon)]
+
+
 def fit_direct_pooled(
     train: DataFrame, features: Sequence[str], model: str | Estimator = "gbt", **settings
 ) -> PipelineModel:

@@ -367,3 +367,17 @@ def test_daily_baseline_finds_week_and_parts_add_up(spark):
     assert row.r2 > 0.9
     gap = out.select(F.max(F.abs(F.col("trend") + F.col("weekly") + F.col("yearly") + F.col("holidays") - F.col("yhat"))))
     assert gap.first()[0] < 1e-9
+
+
+def test_normal_equations_show_weights_that_are_not_the_best(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(a), float(b), [float(3 * a - b + e), float(a + 2 * e)]) for a, b, e in rng.normal(size=(200, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, targets array<double>")
+    fitted = direct.fit_direct_linear(df, ["a", "b"], horizon=2)
+    facts = direct.normal_equations(df, fitted)
+    assert [f[:2] for f in facts] == [(1, 200), (2, 200)]
+    assert [f[2] for f in facts] == pytest.approx([np.mean([r[2][h] for r in rows]) for h in (0, 1)])
+    assert max(f[3] for f in facts) < 1e-12
+    fitted.weights[2, 1] += 0.01
+    off = direct.normal_equations(df, fitted)
+    assert off[0][3] < 1e-12 and off[1][3] > 1e-3
