@@ -28,6 +28,8 @@ from .components import connected_components
 BITS = 64
 RADIUS = 3
 SEED = 42
+# Different fingerprints that share a half from which on its words are shuffled one by one.
+HOT = 2000
 # Bytes of text whose words are in memory at once.
 PIECE = 1 << 20
 _SPACE = re.compile(rb"[\x20\t-\r]")
@@ -101,17 +103,25 @@ def links(marks: DataFrame) -> DataFrame:
     Words whose flipped bits lie in one half share the other half. So the shuffle key is a
     half: a fingerprint is sent once by each of its halves, and once for each half with one
     bit flipped (66 rows); the words that share the half are only made where they meet.
+    Where more than ``HOT`` fingerprints have a half, words are made first and shuffled one by one: at
+    most 2081 fingerprints lie within two bits of a word, so no task holds a group without bound.
     """
     flip, none = _flips(), np.zeros(1, np.int64)
     tasks = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_top = F.shiftrightunsigned(F.col("word"), BITS // 2)
+    by_low = F.col("word").bitwiseAND(F.lit((1 << BITS // 2) - 1)) + F.lit(1 << BITS // 2)
+    # Halves that many share, and those one bit beside them, which the same fingerprints reach.
+    own = marks.select(F.col("fp").alias("word")).select(F.explode(F.array(by_top, by_low)).alias("own"))
+    hot = own.groupBy("own").count().where(F.col("count") > HOT)
+    beside = F.lit(np.array([0] + [1 << i for i in range(BITS // 2)], np.int64))
+    hot = hot.select("own", F.explode(beside).alias("bit")).select(F.col("own").bitwiseXOR(F.col("bit")).alias("half"))
+    hot = stage(hot.distinct(), "hot-halves")
+
     sent = F.lit(np.concatenate([none, flip["top"], none, flip["low"]]))
     sides = len(flip["top"]) + 1
-    word = F.col("fp").bitwiseXOR(F.col("flip"))
-    by_top = F.shiftrightunsigned(word, BITS // 2)
-    by_low = word.bitwiseAND(F.lit((1 << BITS // 2) - 1)) + F.lit(1 << BITS // 2)
     rows = marks.repartition(tasks, "fp").select("fp", F.posexplode(sent).alias("at", "flip"))
+    rows = rows.withColumn("word", F.col("fp").bitwiseXOR(F.col("flip")))
     rows = rows.select("fp", "flip", F.when(F.col("at") < sides, by_top).otherwise(by_low).alias("half"))
-    rows = rows.repartition(tasks, "half")
     odd, top = F.bit_count("fp") % 2 == 1, F.col("half") < 1 << BITS // 2
     here = (
         F.when(F.col("flip") != 0, F.array("flip"))
@@ -120,12 +130,20 @@ def links(marks: DataFrame) -> DataFrame:
         .when(odd, F.lit(np.concatenate([none, flip["top"], flip["top2"]])))
         .otherwise(F.lit(np.concatenate([none, flip["top"]])))
     )
-    met = rows.select("fp", "half", F.explode(here).alias("flip"))
-    met = met.select("half", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("word"))
-    within_one = F.bit_count(F.col("fp").bitwiseXOR(F.col("word"))) <= 1
-    hub = F.min(F.when(within_one, F.col("fp"))).over(Window.partitionBy("word", "half"))
-    stars = met.withColumn("hub", hub).where("hub != fp").select("fp", "hub").distinct()
-    return stars.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS).toDF("a", "b")
+
+    def words(some: DataFrame) -> DataFrame:
+        met = some.select("fp", "half", F.explode(here).alias("flip"))
+        return met.select("half", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("word"))
+
+    def stars(met: DataFrame) -> DataFrame:
+        within_one = F.bit_count(F.col("fp").bitwiseXOR(F.col("word"))) <= 1
+        hub = F.min(F.when(within_one, F.col("fp"))).over(Window.partitionBy("word", "half"))
+        return met.withColumn("hub", hub).where("hub != fp").select("fp", "hub")
+
+    few = stars(words(rows.join(hot, "half", "left_anti").repartition(tasks, "half")))
+    many = stars(words(rows.join(hot, "half", "left_semi")).repartition(tasks, "half", "word"))
+    found = few.union(many).distinct()
+    return found.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS).toDF("a", "b")
 
 
 def _roots(rows: DataFrame) -> DataFrame:
