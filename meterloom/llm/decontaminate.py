@@ -7,6 +7,8 @@ the pigeonhole holds at each node: some untouched piece also has its pair within
 its four within three, and so on up to the item within ``k``. Hits climb this tree; Myers'
 bit-parallel distance verifies each level, and nearly all chance hits fall at the first.
 
+Items too short for edits count only as exact copies between word borders.
+
 Documents are scanned where they lie, without a shuffle. Items reach the tasks in blocks of
 a fixed number of characters, one scan per block, so no broadcast grows with the benchmark.
 """
@@ -28,7 +30,7 @@ from .common import keep_rows, map_texts
 
 @dataclass(frozen=True)
 class Budget:
-    """Edits allowed for each character of an item, the shortest item that counts as evidence, characters in a block."""
+    """Edits allowed for each character of an item, the shortest item that may have edits, characters in a block."""
 
     rate: float = 0.08
     min_chars: int = 24
@@ -68,6 +70,27 @@ def bit_masks(pattern: str) -> dict[str, int]:
     return ones
 
 
+class ShortItem:
+    """A benchmark text that only counts as an exact copy between word borders."""
+
+    budget = 0
+    cuts = (0,)
+
+    def __init__(self, item_id, text: str):
+        self.item_id, self.text = item_id, text
+
+    def pieces(self) -> Iterator[tuple[str, int]]:
+        yield self.text, 0
+
+    def verify(self, j: int, text: str, begin: int) -> tuple[int, int] | None:
+        """No edits and the end, if no word of ``text`` goes on beyond the copy at ``begin``."""
+        end = begin + len(self.text)
+        for edge in (begin, end):
+            if 0 < edge < len(text) and text[edge - 1].isalnum() and text[edge].isalnum():
+                return None
+        return 0, end
+
+
 class Item:
     """A benchmark text, its pieces, and the nodes above each pair of pieces, smallest first."""
 
@@ -128,7 +151,8 @@ class Scanner:
         self.items = []
         places: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in block:
-            item = Item(item_id, text, int(len(text) * budget.rate) | 1)
+            short = len(text) < budget.min_chars
+            item = ShortItem(item_id, text) if short else Item(item_id, text, int(len(text) * budget.rate) | 1)
             for piece, j in item.pieces():
                 places.setdefault(piece, []).append((len(self.items), j))
             self.items.append(item)
@@ -160,7 +184,7 @@ class Scanner:
 def blocks(benchmark: DataFrame, budget: Budget, item: str = "item_id", text: str = "text") -> Iterator[list[tuple]]:
     """Different normalised items in lists of about ``block_chars`` characters.
 
-    Items shorter than ``min_chars`` (null and empty ones too) are no evidence and left out.
+    Items without a letter or digit (null and empty ones too) are no evidence and left out.
     """
     rows = benchmark.select(benchmark[item].alias("i"), benchmark[text].cast("string").alias("t")).where("t is not null")
     rows = rows.distinct()
@@ -169,7 +193,7 @@ def blocks(benchmark: DataFrame, budget: Budget, item: str = "item_id", text: st
     part = F.pmod(F.xxhash64("i", "t"), F.lit(max(parts, 1)))
     for n in range(parts):
         block = [(r.i, normal(r.t)) for r in rows.where(part == n).collect()]
-        if block := sorted({x for x in block if len(x[1]) >= budget.min_chars}, key=lambda x: (x[0] is None, x)):
+        if block := sorted({x for x in block if any(map(str.isalnum, x[1]))}, key=lambda x: (x[0] is None, x)):
             yield block
 
 
@@ -218,7 +242,11 @@ def leaks(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, budget: Budget = Budget(), text: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns, that hold no copy of any item."""
+    """Rows of ``docs``, all columns, that hold no copy of any item.
+
+    Null and empty texts hold nothing and stay; repeated rows stay or go together; an empty
+    table on either side leaves all rows. Texts are scanned whole.
+    """
 
     def clean(rows, shared):
         def prepare():
