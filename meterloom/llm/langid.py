@@ -8,6 +8,7 @@ checked against a limit before it is sent) goes to all tasks, which score whole
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import held_out, map_texts, per_process, ship_code, slices
 
 UNKNOWN = "und"
+# Characters of a text whose n-grams are in memory at once; longer texts go in pieces.
+PIECE_CHARS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,29 @@ def ngrams(texts: list[str], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.n
     return np.concatenate(found_rows), np.concatenate(found), lettered
 
 
+def buckets_in_pieces(text: str, shape: Shape) -> Iterator[np.ndarray]:
+    """The buckets that ``ngrams`` gives for one text, piece by piece; the last letters of a piece go along to the next."""
+    table = per_process(("letters",), _letters)
+    kept = np.ones(0, np.uint32)
+    for start in range(0, len(text) + 2, PIECE_CHARS):
+        # The text has a blank on either side, at places 0 and len + 1.
+        piece = text[max(start - 1, 0) : start - 1 + PIECE_CHARS]
+        piece = "\0" * (start == 0) + piece + "\0" * (start <= len(text) + 1 < start + PIECE_CHARS)
+        chars = table[np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32)]
+        before = np.concatenate([kept[-1:] if len(kept) else [1], chars[:-1]])
+        chars = np.concatenate([kept, chars[(chars != 0) | (before != 0)]])
+        for n in range(1, shape.longest + 1):
+            part = chars[max(len(kept) - n + 1, 0) :]
+            size = max(len(part) - n + 1, 0)
+            code = np.zeros(size, np.uint64)
+            for i in range(n):
+                code = code * np.uint64(0x9E3779B97F4A7C15) + part[i : i + size]
+            whole = (part[:size] != 0) | (n > 1)
+            mixed = (code[whole] + np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)
+            yield (mixed >> np.uint64(64 - shape.bits)).astype(np.int64)
+        kept = chars[len(chars) - min(len(chars), max(shape.longest - 1, 1)) :]
+
+
 def fit(docs: DataFrame, shape: Shape = Shape(), text: str = "text", lang: str = "lang") -> Model:
     """Model of all rows of ``docs`` with a language; null and empty texts only count for the prior.
 
@@ -91,8 +117,14 @@ def fit(docs: DataFrame, shape: Shape = Shape(), text: str = "text", lang: str =
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = [x or "" for x in part.column("text").to_pylist()]
-                row, bucket, _ = ngrams(texts, shape)
                 place = np.array([names.index(x) for x in part.column("lang").to_pylist()], np.int64)
+                for i, text in enumerate(texts):
+                    if len(text) > PIECE_CHARS:
+                        own = sums.setdefault(int(place[i]), np.zeros(size + 1, np.int64))
+                        for bucket in buckets_in_pieces(text, shape):
+                            own[:size] += np.bincount(bucket, minlength=size)
+                        texts[i] = ""
+                row, bucket, _ = ngrams(texts, shape)
                 for k in np.unique(place):
                     mine = place[row] == k
                     own = sums.setdefault(int(k), np.zeros(size + 1, np.int64))
@@ -117,12 +149,19 @@ def fit(docs: DataFrame, shape: Shape = Shape(), text: str = "text", lang: str =
 
 def score(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Best language of each text (the first of equals) and its posterior probability."""
-    row, bucket, lettered = ngrams(texts, model.shape)
+    long = {i: x for i, x in enumerate(texts) if len(x) > PIECE_CHARS}
+    row, bucket, lettered = ngrams(["" if i in long else x for i, x in enumerate(texts)], model.shape)
+    for i, text in long.items():
+        lettered[i] = any(map(str.isalpha, text))
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     logs = np.stack(
         [np.bincount(row, w[bucket], minlength=len(texts)) + p for w, p in zip(model.weights, model.prior)], axis=1
     )
+    for i, text in long.items():
+        logs[i] = model.prior
+        for part in buckets_in_pieces(text, model.shape):
+            logs[i] += [w[part].sum(dtype=np.float64) for w in model.weights]
     logs -= logs.max(1, keepdims=True)
     best = logs.argmax(1)
     return (
