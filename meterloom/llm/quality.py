@@ -9,10 +9,13 @@ layer are folded into one number for scoring, so a task gathers a single float p
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,9 @@ class Model:
     settings: Settings
 
 
+# Characters of a text whose features are in memory at once; longer texts go in pieces.
+PIECE_CHARS = 1 << 20
+_SPACE = re.compile("[\x20\t-\r]")
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,15 +79,55 @@ def features(texts: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(rows), np.concatenate(found).astype(np.int64)
 
 
+def buckets_in_pieces(text: str, settings: Settings) -> Iterator[np.ndarray]:
+    """The buckets that ``features`` gives for one text: words by pieces cut at white space, characters by pieces of one size."""
+    shift, last, start = np.uint64(64 - settings.bits), np.zeros(0, np.uint64), 0
+    while start < len(text):
+        space = _SPACE.search(text, start + PIECE_CHARS)
+        end = space.start() if space else len(text)
+        words, _ = words_of(pa.array([text[start:end]]))
+        start = end
+        number, _ = codes(words)
+        names = words.dictionary_encode().dictionary.to_pylist() if len(words) else []
+        own = np.array([xxhash.xxh64_intdigest(w, 0) for w in names], np.uint64)[number]
+        yield ((own * _MIX) >> shift).astype(np.int64)
+        run = np.concatenate([last, own])
+        pair = np.where(run[:-1] == run[1:], np.uint64(1), run[:-1] * _STEP + run[1:])
+        yield (((pair + np.uint64(2)) * _MIX) >> shift).astype(np.int64)
+        last = run[-1:]
+    for start in range(0, len(text), PIECE_CHARS):
+        for n in range(settings.shortest, settings.longest + 1):
+            part = text[max(start - n + 1, 0) : start + PIECE_CHARS]
+            chars = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)
+            size = max(len(chars) - n + 1, 0)
+            code = np.zeros(size, np.uint64)
+            for i in range(n):
+                code = code * _STEP + chars[i : i + size]
+            yield (((code + np.uint64(n << 32)) * _MIX) >> shift).astype(np.int64)
+
+
+def _short(texts: pa.Array) -> tuple[pa.Array, dict[int, str]]:
+    """The texts with the long ones emptied, and those by their row."""
+    long = pc.greater(pc.fill_null(pc.utf8_length(texts), 0), PIECE_CHARS)
+    rows = np.flatnonzero(long.to_numpy(zero_copy_only=False))
+    return pc.if_else(long, "", texts) if len(rows) else texts, {int(i): texts[i].as_py() for i in rows}
+
+
 def _sparse(texts: pa.Array, settings: Settings) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Different buckets of each text and their shares of its features."""
+    texts, long = _short(texts)
     row, bucket = features(texts, settings)
     both, counts = np.unique(row << settings.bits | bucket, return_counts=True)
     row, bucket = both >> settings.bits, both & ((1 << settings.bits) - 1)
     cuts = np.searchsorted(row, np.arange(1, len(texts)))
     totals = np.maximum(np.bincount(row, counts, minlength=len(texts)), 1)
     shares = (counts / totals[row]).astype(np.float32)
-    return np.split(bucket.astype(np.int32), cuts), np.split(shares, cuts)
+    buckets, shares = np.split(bucket.astype(np.int32), cuts), np.split(shares, cuts)
+    for i, text in long.items():
+        sums = sum(np.bincount(x, minlength=1 << settings.bits) for x in buckets_in_pieces(text, settings))
+        full = np.flatnonzero(sums)
+        buckets[i], shares[i] = full.astype(np.int32), (sums[full] / sums.sum()).astype(np.float32)
+    return buckets, shares
 
 
 def train(samples: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> Model:
@@ -152,9 +198,15 @@ def fit(
 
 def score(model: Model, texts: pa.Array) -> np.ndarray:
     """Probability of label 1; a text without features gets that of the offset alone."""
+    texts, long = _short(texts)
     row, bucket = features(texts, model.settings)
     total = np.bincount(row, model.weights[bucket], minlength=len(texts))
     many = np.maximum(np.bincount(row, minlength=len(texts)), 1)
+    for i, text in long.items():
+        total[i], many[i] = 0.0, 0
+        for part in buckets_in_pieces(text, model.settings):
+            total[i] += model.weights[part].sum(dtype=np.float64)
+            many[i] += len(part)
     return 1 / (1 + np.exp(-np.clip(total / many + model.offset, -30, 30)))
 
 
