@@ -99,6 +99,18 @@ def test_benchmark_in_blocks(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in documents(SMALL)} - set(one.doc_id)
 
 
+def test_short_items_count_only_as_whole_words(spark):
+    bench = spark.createDataFrame(
+        [(1, "Blue  moon"), (2, "42"), (3, " "), (4, None), (5, "?!"), (6, "c++")], "item_id long, text string"
+    )
+    texts = ["A BLUE\nMOON rose", "bluemoon", "blue moons", "blue moon", None, "", "a42 or 421", "is 42.", "42", "why?!", "c++ and c", "c+"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits, r.budget, r.end_char) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {(0, 1, 0, 0, 11), (3, 1, 0, 0, 9), (7, 2, 0, 0, 5), (8, 2, 0, 0, 2), (10, 6, 0, 0, 3)}
+    kept = {r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()}
+    assert kept == set(range(len(texts))) - {0, 3, 7, 8, 10}
+
+
 # SimHash
 
 
@@ -141,8 +153,10 @@ def plain_components(marks):
     return {frozenset(g) for g in groups.values()}
 
 
-def test_links_join_what_all_pairs_join(spark):
-    """Clusters, chains, and pairs at distances 1 to 5 in every split of the halves."""
+@pytest.mark.parametrize("hot", [simhash.HOT, 3, 0])
+def test_links_join_what_all_pairs_join(spark, monkeypatch, hot):
+    """Clusters, chains, and pairs at distances 1 to 5 in every split of the halves, with some halves hot, or all."""
+    monkeypatch.setattr(simhash, "HOT", hot)
     rng = np.random.default_rng(3)
     marks = set()
     for _ in range(60):
